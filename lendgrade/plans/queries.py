@@ -26,8 +26,13 @@ from .stages import Stages
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
-def _st(spark: SparkSession, sf_dir: str) -> Stages:
-    return Stages.from_testdata(spark, sf_dir)
+def _st(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Stages:
+    return Stages.from_testdata(spark, sf_dir, materialize=materialize)
+
+
+def _mst(spark: SparkSession, sf_dir: str) -> Stages:
+    """Stages for multi-branch queries: shared stages written once."""
+    return _st(spark, sf_dir, materialize=True)
 
 
 def _no_ingest(df: DataFrame) -> DataFrame:
@@ -172,24 +177,24 @@ def duplicates_detail(spark, sf_dir):
 
 
 def quarantine_all_rows(spark, sf_dir):
-    s = _st(spark, sf_dir)
+    s = _mst(spark, sf_dir)
     return quarantine.quarantine_all_rows(s.dup_customers, s.dup_delinq, s.dup_detail)
 
 
 def quarantine_members(spark, sf_dir):
-    return _st(spark, sf_dir).bad
+    return _mst(spark, sf_dir).bad
 
 
 def exclude_customers(spark, sf_dir):
-    return _no_ingest(_st(spark, sf_dir).customers_new)
+    return _no_ingest(_mst(spark, sf_dir).customers_new)
 
 
 def exclude_delinq(spark, sf_dir):
-    return _st(spark, sf_dir).delinq_new
+    return _mst(spark, sf_dir).delinq_new
 
 
 def exclude_detail(spark, sf_dir):
-    return _st(spark, sf_dir).detail_new
+    return _mst(spark, sf_dir).detail_new
 
 
 # -- catalog objects and the consolidated view ----------------------------------------
@@ -227,12 +232,12 @@ def publish_catalog(spark: SparkSession, s: Stages) -> str:
 
 
 def customer_loan_view(spark, sf_dir):
-    db = publish_catalog(spark, _st(spark, sf_dir))
+    db = publish_catalog(spark, _mst(spark, sf_dir))
     return catalog.create_customer_loan_view(spark, db)
 
 
 def customer_loan_table(spark, sf_dir):
-    db = publish_catalog(spark, _st(spark, sf_dir))
+    db = publish_catalog(spark, _mst(spark, sf_dir))
     t = lambda n: spark.table(f"{db}.{n}")
     rel = customer_loan(
         t("customers_new"),
@@ -250,33 +255,33 @@ def customer_loan_table(spark, sf_dir):
 # -- scoring --------------------------------------------------------------------------
 
 def payment_history_points(spark, sf_dir):
-    return _st(spark, sf_dir).payment_points
+    return _mst(spark, sf_dir).payment_points
 
 
 def default_history_points(spark, sf_dir):
-    return _st(spark, sf_dir).default_points
+    return _mst(spark, sf_dir).default_points
 
 
 def financial_health_points(spark, sf_dir):
-    return _st(spark, sf_dir).health_points
+    return _mst(spark, sf_dir).health_points
 
 
 def weighted_score(spark, sf_dir):
-    return _st(spark, sf_dir).weighted
+    return _mst(spark, sf_dir).weighted
 
 
 def loan_score(spark, sf_dir):
-    return _st(spark, sf_dir).loan_score
+    return _mst(spark, sf_dir).loan_score
 
 
 def grade_distribution(spark, sf_dir):
-    return _st(spark, sf_dir).loan_score.groupBy("loan_final_grade").agg(F.count(F.lit(1)).alias("total"))
+    return _mst(spark, sf_dir).loan_score.groupBy("loan_final_grade").agg(F.count(F.lit(1)).alias("total"))
 
 
 # -- profiles -------------------------------------------------------------------------
 
 def quality_profile(spark, sf_dir):
-    s = _st(spark, sf_dir)
+    s = _mst(spark, sf_dir)
     parts = [profile.null_profile(df, name) for name, df in s.split.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -285,7 +290,7 @@ def quality_profile(spark, sf_dir):
 
 
 def key_profile(spark, sf_dir):
-    s = _st(spark, sf_dir)
+    s = _mst(spark, sf_dir)
     parts = [
         profile.key_profile(s.keyed, "raw_applications"),
         profile.key_profile(s.customers, "customers"),

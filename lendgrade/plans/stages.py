@@ -13,19 +13,43 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
 from ..operators import clean, entities, quarantine, score, view
+from ..session import fresh_dir
 from ..sources.fixture import raw_applications
 
 
 class Stages:
+    """``materialize=True`` writes the stages that many branches reuse (the
+    keyed raw table, cleaned customers, the quarantine list) once as Parquet
+    under the shared folder and reads them back: each is computed once per
+    run instead of once per consumer, and lineage is cut at shared storage
+    so a lost executor never replays the raw derivation."""
+
     def __init__(
         self,
         raw: DataFrame,
         cfg: ScoreConfig = DEFAULT_CONFIG,
         ingest_ts=None,
+        materialize: bool = False,
+        run_dir: str | None = None,
     ) -> None:
         self.raw = raw
         self.cfg = cfg
         self.ingest_ts = ingest_ts
+        self.materialize = materialize
+        self._run_dir = run_dir
+
+    @property
+    def run_dir(self) -> str:
+        if self._run_dir is None:
+            self._run_dir = fresh_dir(self.raw.sparkSession, "stages")
+        return self._run_dir
+
+    def _land(self, df: DataFrame, label: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        path = f"{self.run_dir}/{label}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Stages":
@@ -34,7 +58,7 @@ class Stages:
     # -- entity split ---------------------------------------------------------
     @cached_property
     def keyed(self) -> DataFrame:
-        return entities.with_member_key(self.raw)
+        return self._land(entities.with_member_key(self.raw), "keyed")
 
     @cached_property
     def split(self) -> dict[str, DataFrame]:
@@ -43,7 +67,7 @@ class Stages:
     # -- cleaning -------------------------------------------------------------
     @cached_property
     def customers(self) -> DataFrame:
-        return clean.clean_customers(self.split["customers"], self.ingest_ts)
+        return self._land(clean.clean_customers(self.split["customers"], self.ingest_ts), "customers")
 
     @cached_property
     def loans(self) -> DataFrame:
@@ -84,7 +108,7 @@ class Stages:
 
     @cached_property
     def bad(self) -> DataFrame:
-        return quarantine.quarantine(self.dup_customers, self.dup_delinq, self.dup_detail)
+        return self._land(quarantine.quarantine(self.dup_customers, self.dup_delinq, self.dup_detail), "bad")
 
     @cached_property
     def customers_new(self) -> DataFrame:
