@@ -29,6 +29,8 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
 def register_external_table(spark: SparkSession, qualified: str, ddl: str, location: str) -> DataFrame:
     """An external Parquet table over existing files (columns bind by name)."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} ({ddl}) USING parquet LOCATION {_q(location)}")
+    # a rerun overwrites the files under an existing table: drop cached listings
+    spark.catalog.refreshTable(qualified)
     return spark.table(qualified)
 
 
