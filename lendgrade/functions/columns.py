@@ -61,9 +61,9 @@ def is_zero_text(c: str | Column) -> Column:
     return to_double(c) == F.lit(0.0)
 
 
-def null_if_zero_text(c: str | Column) -> Column:
+def null_if_zero_text(c: str) -> Column:
     """Placeholder dates written as '0.0' become NULL; other text is kept."""
-    return F.when(is_zero_text(c), F.lit(None).cast("string")).otherwise(col_(c))
+    return F.expr(f"CASE WHEN try_cast(`{c}` AS DOUBLE) = 0.0 THEN CAST(NULL AS STRING) ELSE `{c}` END")
 
 
 def longer_than(c: str | Column, n: int, replacement: str) -> Column:
@@ -71,6 +71,12 @@ def longer_than(c: str | Column, n: int, replacement: str) -> Column:
     return F.when(F.length(col_(c)) > n, F.lit(replacement)).otherwise(col_(c))
 
 
-def in_lookup(c: str | Column, allowed: Iterable[str], fallback: str) -> Column:
-    """Keep values from a small fixed lookup list, map all others to ``fallback``."""
-    return F.when(col_(c).isin(list(allowed)), col_(c)).otherwise(F.lit(fallback))
+def _sql_lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def in_lookup(c: str, allowed: Iterable[str], fallback: str) -> Column:
+    """Keep values from a small fixed lookup list (an IN set compiled into
+    the expression), map all others to ``fallback``."""
+    values = ", ".join(_sql_lit(v) for v in allowed)
+    return F.expr(f"CASE WHEN `{c}` IN ({values}) THEN `{c}` ELSE {_sql_lit(fallback)} END")

@@ -83,13 +83,11 @@ def typed(df: DataFrame, ddl: str) -> DataFrame:
     fields = _ddl_fields(ddl)
     if len(fields) != len(df.columns):
         raise ValueError(f"expected {len(fields)} columns for schema, got {len(df.columns)}: {df.columns}")
-    cols = []
-    for src, (name, typ) in zip(df.columns, fields):
-        c = F.col(f"`{src}`")
-        if dict(df.dtypes)[src] != typ:
-            c = c.try_cast(typ)
-        cols.append(c.alias(name))
-    return df.select(*cols)
+    exprs = []
+    for (src, have), (name, typ) in zip(df.dtypes, fields):
+        c = f"`{src}`" if have == typ else f"try_cast(`{src}` AS {typ})"
+        exprs.append(f"{c} AS `{name}`")
+    return df.selectExpr(*exprs)
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str], strict: bool = True) -> DataFrame:
@@ -152,13 +150,13 @@ def clean_loans(df: DataFrame, purposes: Iterable[str] = LOAN_PURPOSES, ingest_t
     return out.withColumn("ingest_date", ingest_column(ingest_ts))
 
 
-def repaired_total_payment(df: DataFrame | None = None) -> Column:
+def repaired_total_payment() -> Column:
     """Total payment, rebuilt from its parts when it is 0 but principal is not."""
-    p = F.col("total_principal_received")
-    i = F.col("total_interest_received")
-    fee = F.col("total_late_fee_received")
-    t = F.col("total_payment_received")
-    return F.when((p != 0.0) & (t == 0.0), p + i + fee).otherwise(t)
+    return F.expr(
+        "CASE WHEN total_principal_received != 0.0 AND total_payment_received = 0.0 "
+        "THEN total_principal_received + total_interest_received + total_late_fee_received "
+        "ELSE total_payment_received END"
+    )
 
 
 def clean_repayments(df: DataFrame, ingest_ts=None) -> DataFrame:

@@ -11,6 +11,10 @@ Join plan (all equi-joins, Catalyst/AQE choose the physical strategy):
   takes loan status and funded amount from the same loan (carried through
   by ``loan_id``), instead of joining all loans of the member again, which
   would multiply rows for members with several loans.
+
+Band tables are SQL CASE text (one parsed expression per component), with
+thresholds as decimal literals that Spark coerces to double next to float
+columns.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
-from ..functions.bands import band_points, counter_bands
+from ..functions.bands import band_sql, counter_bands
 from .quarantine import exclude_members
 
 PAYMENT_COMPONENTS = ("last_payment_pts", "total_payment_pts")
@@ -27,103 +31,149 @@ DEFAULTER_COMPONENTS = ("delinq_pts", "public_records_pts", "public_bankruptcies
 HEALTH_COMPONENTS = ("loan_status_pts", "home_pts", "credit_limit_pts", "grade_pts")
 SCORE_COLUMNS = ("payment_history_pts", "defaulters_history_pts", "financial_health_pts", "loan_score")
 
+# Loan-status phrases (matched inside the lower-cased status).
+STATUS_BANDS = (
+    (("fully paid",), "excellent"),
+    (("current",), "good"),
+    (("in grace period",), "bad"),
+    (("late (16-30 days)", "late (31-120 days)"), "very_bad"),
+    (("charged off",), "unacceptable"),
+)
+# Home-ownership suffixes (lower-cased); NULL joins the last.
+HOME_BANDS = (("own", "excellent"), ("rent", "good"), ("mortgage", "bad"), ("any", "very_bad"))
+# Funded amount as a share of the credit limit.
+CREDIT_LIMIT_BANDS = (
+    ("0.10", "excellent"),
+    ("0.20", "very_good"),
+    ("0.30", "good"),
+    ("0.50", "bad"),
+    ("0.70", "very_bad"),
+)
+# Loan grades that score unacceptable.
+POOR_GRADES = ("F", "G")
 
-# ---- band columns -----------------------------------------------------------------
 
-def last_payment_pts(amount: Column, installment: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    p = cfg.points
-    half, one_half = installment * 0.5, installment * 1.5
-    return band_points(
+def _c(name: str) -> str:
+    """A column name as SQL text (expressions and quoted names pass through)."""
+    return name if name.startswith("`") or "(" in name else f"`{name}`"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+# ---- band expressions (SQL text) -----------------------------------------------
+
+def last_payment_sql(amount: str, installment: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
+    p, a, i = cfg.points, _c(amount), _c(installment)
+    return band_sql(
         [
-            (amount < half, p.very_bad),
-            ((amount >= half) & (amount < installment), p.very_bad),
-            (amount == installment, p.good),
-            ((amount > installment) & (amount <= one_half), p.very_good),
-            (amount > one_half, p.excellent),
+            (f"{a} < ({i} * 0.5)", p.very_bad),
+            (f"{a} >= ({i} * 0.5) AND {a} < {i}", p.very_bad),
+            (f"{a} = {i}", p.good),
+            (f"{a} > {i} AND {a} <= ({i} * 1.50)", p.very_good),
+            (f"{a} > ({i} * 1.50)", p.excellent),
         ],
         default=p.unacceptable,
     )
 
 
-def total_payment_pts(total: Column, funded: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    p = cfg.points
-    half = funded * 0.5
-    return band_points(
+def total_payment_sql(total: str, funded: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
+    p, t, f = cfg.points, _c(total), _c(funded)
+    return band_sql(
         [
-            (total >= half, p.very_good),
-            ((total < half) & (total > 0), p.good),
-            ((total == 0) | total.isNull(), p.unacceptable),
+            (f"{t} >= ({f} * 0.50)", p.very_good),
+            (f"{t} < ({f} * 0.50) AND {t} > 0", p.good),
+            (f"({t} = 0 OR {t} IS NULL)", p.unacceptable),
         ]
     )
 
 
-def delinq_pts(c: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    return band_points(counter_bands(c, cfg.points, cfg.delinq_overflow))
-
+def delinq_sql(c: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
+    return band_sql(counter_bands(_c(c), cfg.points, cfg.delinq_overflow))
 
-def public_records_pts(c: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    return band_points(counter_bands(c, cfg.points, cfg.points.very_bad))
 
+def public_records_sql(c: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
+    return band_sql(counter_bands(_c(c), cfg.points, cfg.points.very_bad))
 
-def enquiry_pts(c: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    return band_points(counter_bands(c, cfg.points, cfg.points.unacceptable))
 
-
-# Loan-status phrases (matched inside the lower-cased status).
-STATUS_BANDS = (
-    (("fully paid",), "excellent"),
-    (("current",), "good"),
-    (("in grace period",), "bad"),
-    (("late (16-30 days)", "late (31-120 days)"), "very_bad"),
-    (("charged off",), "unacceptable"),
-)
-# Home-ownership suffixes (lower-cased); NULL joins the last.
-HOME_BANDS = (("own", "excellent"), ("rent", "good"), ("mortgage", "bad"), ("any", "very_bad"))
-# Funded amount as a share of the credit limit.
-CREDIT_LIMIT_BANDS = (
-    (0.10, "excellent"),
-    (0.20, "very_good"),
-    (0.30, "good"),
-    (0.50, "bad"),
-    (0.70, "very_bad"),
-)
-# Loan grades that score unacceptable.
-POOR_GRADES = ("F", "G")
+def enquiry_sql(c: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
+    return band_sql(counter_bands(_c(c), cfg.points, cfg.points.unacceptable))
 
 
-def loan_status_pts(status: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    s = F.lower(status)
+def loan_status_sql(status: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
+    s = f"lower({_c(status)})"
     bands = []
     for phrases, level in STATUS_BANDS:
-        cond = None
-        for ph in phrases:
-            c = s.contains(ph)
-            cond = c if cond is None else (cond | c)
-        bands.append((cond, getattr(cfg.points, level)))
-    return band_points(bands, default=cfg.points.unacceptable)
+        cond = " OR ".join(f"contains({s}, {_lit(ph)})" for ph in phrases)
+        bands.append((f"({cond})", getattr(cfg.points, level)))
+    return band_sql(bands, default=cfg.points.unacceptable)
+
+
+def home_sql(home: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
+    h = _c(home)
+    bands = [(f"endswith(lower({h}), {_lit(sfx)})", getattr(cfg.points, lvl)) for sfx, lvl in HOME_BANDS]
+    last_pred, last_pts = bands[-1]
+    bands[-1] = (f"({last_pred} OR {h} IS NULL)", last_pts)
+    return band_sql(bands)
+
+
+def credit_limit_sql(funded: str, limit: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
+    f, l = _c(funded), _c(limit)
+    bands = [(f"{f} <= ({l} * {share})", getattr(cfg.points, lvl)) for share, lvl in CREDIT_LIMIT_BANDS]
+    return band_sql(bands, default=cfg.points.unacceptable)
+
+
+def grade_sql(grade: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
+    poor = ", ".join(_lit(g) for g in POOR_GRADES)
+    return band_sql([(f"{_c(grade)} IN ({poor})", cfg.points.unacceptable)], default=cfg.points.good)
+
+
+# Column versions of the band expressions (for use in any select).
+def last_payment_pts(amount: str, installment: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    return F.expr(last_payment_sql(amount, installment, cfg))
+
 
+def total_payment_pts(total: str, funded: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    return F.expr(total_payment_sql(total, funded, cfg))
 
-def home_pts(home: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    h = F.lower(home)
-    bands = [(h.endswith(sfx), getattr(cfg.points, level)) for sfx, level in HOME_BANDS]
-    last_cond, last_pts = bands[-1]
-    bands[-1] = (last_cond | home.isNull(), last_pts)
-    return band_points(bands)
 
+def delinq_pts(c: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    return F.expr(delinq_sql(c, cfg))
 
-def credit_limit_pts(funded: Column, limit: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    bands = [(funded <= limit * share, getattr(cfg.points, level)) for share, level in CREDIT_LIMIT_BANDS]
-    return band_points(bands, default=cfg.points.unacceptable)
 
+def public_records_pts(c: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    return F.expr(public_records_sql(c, cfg))
 
-def grade_pts(grade: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    return band_points([(grade.isin(*POOR_GRADES), cfg.points.unacceptable)], default=cfg.points.good)
 
+def enquiry_pts(c: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    return F.expr(enquiry_sql(c, cfg))
 
-def _fill(c: Column, cfg: ScoreConfig) -> Column:
+
+def loan_status_pts(status: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    return F.expr(loan_status_sql(status, cfg))
+
+
+def home_pts(home: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    return F.expr(home_sql(home, cfg))
+
+
+def credit_limit_pts(funded: str, limit: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    return F.expr(credit_limit_sql(funded, limit, cfg))
+
+
+def grade_pts(grade: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    return F.expr(grade_sql(grade, cfg))
+
+
+def _fill(sql: str, cfg: ScoreConfig) -> str:
     if cfg.null_component == "unacceptable":
-        return F.coalesce(c, F.lit(cfg.points.unacceptable))
-    return c
+        return f"coalesce({sql}, CAST({int(cfg.points.unacceptable)} AS INT))"
+    return sql
+
+
+def _as(sql: str, name: str, cfg: ScoreConfig) -> str:
+    return f"{_fill(sql, cfg)} AS {name}"
 
 
 # ---- point tables -----------------------------------------------------------------
@@ -143,16 +193,12 @@ def payment_history_points(
     l = loans.select(*needed, *[c for c in carry if c not in needed])
     p = repayments.select("loan_id", "last_payment_amount", "total_payment_received")
     j = p.join(l, "loan_id", "inner")
-    return j.select(
+    return j.selectExpr(
         "member_id",
         "loan_id",
-        _fill(last_payment_pts(F.col("last_payment_amount"), F.col("monthly_installment"), cfg), cfg).alias(
-            "last_payment_pts"
-        ),
-        _fill(total_payment_pts(F.col("total_payment_received"), F.col("funded_amount"), cfg), cfg).alias(
-            "total_payment_pts"
-        ),
-        *carry,
+        _as(last_payment_sql("last_payment_amount", "monthly_installment", cfg), "last_payment_pts", cfg),
+        _as(total_payment_sql("total_payment_received", "funded_amount", cfg), "total_payment_pts", cfg),
+        *[_c(c) for c in carry],
     )
 
 
@@ -171,16 +217,16 @@ def default_history_points(
     d = delinq.select("member_id", "delinq_2yrs")
     if cfg.population == "delinquent":
         j = detail.join(d, "member_id", "inner").join(ph, "member_id", "inner")
-        delinq_count = F.col("delinq_2yrs")
+        delinq_count = "delinq_2yrs"
     else:  # members without a delinquency row have none
         j = detail.join(d, "member_id", "left").join(ph, "member_id", "inner")
-        delinq_count = F.coalesce(F.col("delinq_2yrs"), F.lit(0))
-    return j.select(
-        *ph.columns,
-        _fill(delinq_pts(delinq_count, cfg), cfg).alias("delinq_pts"),
-        _fill(public_records_pts(F.col("pub_rec"), cfg), cfg).alias("public_records_pts"),
-        _fill(public_records_pts(F.col("pub_rec_bankruptcies"), cfg), cfg).alias("public_bankruptcies_pts"),
-        _fill(enquiry_pts(F.col("inq_last_6mths"), cfg), cfg).alias("enq_pts"),
+        delinq_count = "coalesce(`delinq_2yrs`, 0)"
+    return j.selectExpr(
+        *[_c(c) for c in ph.columns],
+        _as(delinq_sql(delinq_count, cfg), "delinq_pts", cfg),
+        _as(public_records_sql("pub_rec", cfg), "public_records_pts", cfg),
+        _as(public_records_sql("pub_rec_bankruptcies", cfg), "public_bankruptcies_pts", cfg),
+        _as(enquiry_sql("inq_last_6mths", cfg), "enq_pts", cfg),
     )
 
 
@@ -200,57 +246,54 @@ def financial_health_points(
         pts = pts.join(loans.select("loan_id", "loan_status", "funded_amount"), "loan_id", "inner")
     a = customers.select("member_id", "home_ownership", "total_high_credit_limit", "grade")
     j = pts.join(a, "member_id", "inner")
-    return j.select(
-        *base_cols,
-        _fill(loan_status_pts(F.col("loan_status"), cfg), cfg).alias("loan_status_pts"),
-        _fill(home_pts(F.col("home_ownership"), cfg), cfg).alias("home_pts"),
-        _fill(credit_limit_pts(F.col("funded_amount"), F.col("total_high_credit_limit"), cfg), cfg).alias(
-            "credit_limit_pts"
-        ),
-        _fill(grade_pts(F.col("grade"), cfg), cfg).alias("grade_pts"),
+    return j.selectExpr(
+        *[_c(c) for c in base_cols],
+        _as(loan_status_sql("loan_status", cfg), "loan_status_pts", cfg),
+        _as(home_sql("home_ownership", cfg), "home_pts", cfg),
+        _as(credit_limit_sql("funded_amount", "total_high_credit_limit", cfg), "credit_limit_pts", cfg),
+        _as(grade_sql("grade", cfg), "grade_pts", cfg),
     )
 
 
-def _weighted(cols, weight) -> Column:
-    total = None
-    for c in cols:
-        total = F.col(c) if total is None else total + F.col(c)
-    # exact decimal arithmetic: int points x decimal weight
-    return total * F.lit(weight)
+def _weighted_sql(cols, weight) -> str:
+    # exact decimal arithmetic: int points x decimal weight literal
+    return f"(({' + '.join(_c(c) for c in cols)}) * {weight})"
 
 
 def weighted_score(pts: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, keys=("member_id", "loan_id")) -> DataFrame:
     """Weighted point groups and their sum, computed exactly in decimal and
     published as double."""
     w = cfg.weights
-    ph = _weighted(PAYMENT_COMPONENTS, w.payment_history)
-    dh = _weighted(DEFAULTER_COMPONENTS, w.defaulters_history)
-    fh = _weighted(HEALTH_COMPONENTS, w.financial_health)
+    ph = _weighted_sql(PAYMENT_COMPONENTS, w.payment_history)
+    dh = _weighted_sql(DEFAULTER_COMPONENTS, w.defaulters_history)
+    fh = _weighted_sql(HEALTH_COMPONENTS, w.financial_health)
     keys = [k for k in keys if k in pts.columns]
-    return pts.select(
-        *keys,
-        ph.cast("double").alias("payment_history_pts"),
-        dh.cast("double").alias("defaulters_history_pts"),
-        fh.cast("double").alias("financial_health_pts"),
-        (ph + dh + fh).cast("double").alias("loan_score"),
+    return pts.selectExpr(
+        *[_c(k) for k in keys],
+        f"CAST({ph} AS DOUBLE) AS payment_history_pts",
+        f"CAST({dh} AS DOUBLE) AS defaulters_history_pts",
+        f"CAST({fh} AS DOUBLE) AS financial_health_pts",
+        f"CAST({ph} + {dh} + {fh} AS DOUBLE) AS loan_score",
     )
 
 
-def grade_column(score: Column, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
-    """A-F by strict cut-offs; a NULL score falls through to F."""
+def grade_sql_text(score: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
     c = cfg.cutoffs
+    s = _c(score)
     return (
-        F.when(score > c.very_good, "A")
-        .when(score > c.good, "B")
-        .when(score > c.bad, "C")
-        .when(score > c.very_bad, "D")
-        .when(score > c.unacceptable, "E")
-        .otherwise("F")
+        f"CASE WHEN {s} > {c.very_good} THEN 'A' WHEN {s} > {c.good} THEN 'B' "
+        f"WHEN {s} > {c.bad} THEN 'C' WHEN {s} > {c.very_bad} THEN 'D' "
+        f"WHEN {s} > {c.unacceptable} THEN 'E' ELSE 'F' END"
     )
 
 
+def grade_column(score: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
+    """A-F by strict cut-offs; a NULL score falls through to F."""
+    return F.expr(grade_sql_text(score, cfg))
+
+
 def final_grade(scored: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG) -> DataFrame:
-    return scored.withColumn("loan_final_grade", grade_column(F.col("loan_score"), cfg))
+    return scored.withColumn("loan_final_grade", grade_column("loan_score", cfg))
 
 
 def loan_score(

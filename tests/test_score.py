@@ -2,8 +2,6 @@
 
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from lendgrade.config import ScoreConfig
 from lendgrade.operators import score
 
@@ -18,7 +16,7 @@ def test_last_payment_bands(spark):
     amounts = [10.0, 50.0, 99.0, 100.0, 120.0, 150.0, 151.0, None]
     out = _one(
         spark,
-        score.last_payment_pts(F.col("a"), F.col("i")),
+        score.last_payment_pts("a", "i"),
         [(a, inst) for a in amounts],
         "a float, i float",
     )
@@ -28,7 +26,7 @@ def test_last_payment_bands(spark):
 def test_total_payment_bands(spark):
     out = _one(
         spark,
-        score.total_payment_pts(F.col("t"), F.col("f")),
+        score.total_payment_pts("t", "f"),
         [(t, 100.0) for t in (50.0, 49.0, 0.01, 0.0, None, -5.0)],
         "t float, f float",
     )
@@ -38,14 +36,14 @@ def test_total_payment_bands(spark):
 def test_counter_bands(spark):
     vals = [0, 1, 2, 3, 5, 6, None, -1]
     rows = [(v,) for v in vals]
-    assert _one(spark, score.delinq_pts(F.col("c")), rows, "c int") == [800, 250, 250, 100, 100, 750, 750, None]
-    assert _one(spark, score.public_records_pts(F.col("c")), rows, "c int") == [800, 250, 250, 100, 100, 100, 100, None]
-    assert _one(spark, score.enquiry_pts(F.col("c")), rows, "c int") == [800, 250, 250, 100, 100, 0, 0, None]
+    assert _one(spark, score.delinq_pts("c"), rows, "c int") == [800, 250, 250, 100, 100, 750, 750, None]
+    assert _one(spark, score.public_records_pts("c"), rows, "c int") == [800, 250, 250, 100, 100, 100, 100, None]
+    assert _one(spark, score.enquiry_pts("c"), rows, "c int") == [800, 250, 250, 100, 100, 0, 0, None]
 
 
 def test_delinq_overflow_override(spark):
     cfg = ScoreConfig(delinq_overflow_pts=0)
-    assert _one(spark, score.delinq_pts(F.col("c"), cfg), [(9,)], "c int") == [0]
+    assert _one(spark, score.delinq_pts("c", cfg), [(9,)], "c int") == [0]
 
 
 def test_loan_status_bands(spark):
@@ -60,13 +58,13 @@ def test_loan_status_bands(spark):
         "Does not meet the credit policy. Status:Fully Paid",
         None,
     ]
-    out = _one(spark, score.loan_status_pts(F.col("s")), [(s,) for s in statuses], "s string")
+    out = _one(spark, score.loan_status_pts("s"), [(s,) for s in statuses], "s string")
     assert out == [800, 500, 250, 100, 100, 0, 0, 800, 0]
 
 
 def test_home_bands(spark):
     homes = ["OWN", "RENT", "MORTGAGE", "ANY", None, "NONE", "OTHER"]
-    out = _one(spark, score.home_pts(F.col("h")), [(h,) for h in homes], "h string")
+    out = _one(spark, score.home_pts("h"), [(h,) for h in homes], "h string")
     assert out == [800, 500, 250, 100, 100, None, None]
 
 
@@ -74,18 +72,18 @@ def test_credit_limit_bands(spark):
     limit = 1000.0
     funded = [100.0, 101.0, 200.0, 300.0, 500.0, 700.0, 701.0]
     rows = [(f, limit) for f in funded] + [(100.0, None)]
-    out = _one(spark, score.credit_limit_pts(F.col("f"), F.col("l")), rows, "f float, l float")
+    out = _one(spark, score.credit_limit_pts("f", "l"), rows, "f float, l float")
     assert out == [800, 650, 650, 500, 250, 100, 0, 0]
 
 
 def test_grade_bands(spark):
-    out = _one(spark, score.grade_pts(F.col("g")), [("F",), ("G",), ("A",), (None,)], "g string")
+    out = _one(spark, score.grade_pts("g"), [("F",), ("G",), ("A",), (None,)], "g string")
     assert out == [0, 0, 500, 500]
 
 
 def test_grade_cutoffs_and_null(spark):
     scores = [2745.0, 2500.01, 2500.0, 2000.0, 1500.0, 1000.0, 750.01, 750.0, 0.0, None]
-    out = _one(spark, score.grade_column(F.col("s")), [(s,) for s in scores], "s double")
+    out = _one(spark, score.grade_column("s"), [(s,) for s in scores], "s double")
     assert out == ["A", "A", "B", "C", "D", "E", "E", "F", "F", "F"]
 
 
