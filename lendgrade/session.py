@@ -27,6 +27,17 @@ RECOMMENDED_CONF = {
 }
 
 
+def _driver_memory() -> str:
+    """Half the machine's memory, between 2 and 16 GiB (local mode only)."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = next(int(line.split()[1]) for line in f if line.startswith("MemTotal:"))
+        gb = max(2, min(16, int(kb / 1024 / 1024 * 0.5)))
+    except (OSError, StopIteration, ValueError):
+        gb = 4
+    return f"{gb}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lendgrade") -> SparkSession:
     """Local session used by tests and the benchmark (no UI, no server)."""
     builder = (
@@ -35,7 +46,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", _driver_memory())
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in RECOMMENDED_CONF.items():
