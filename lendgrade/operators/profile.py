@@ -61,3 +61,16 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
     first rows only, for a report)."""
     out = df.groupBy(column).agg(F.count(F.lit(1)).alias("total")).orderBy(F.col("total").desc())
     return out.limit(top) if top is not None else out
+
+
+def step_counts(steps) -> DataFrame:
+    """table_name, step, row_count for (table, step, frame) triples: the
+    before/after counts of each cleaning step as one result (each count is a
+    partial/final aggregate over a pruned scan)."""
+    out = None
+    for table, step, df in steps:
+        part = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(table).alias("table_name"), F.lit(step).alias("step"), "row_count"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out

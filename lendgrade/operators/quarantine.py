@@ -49,3 +49,14 @@ def quarantine(*id_frames: DataFrame, key: str = "member_id") -> DataFrame:
 def exclude_members(df: DataFrame, bad: DataFrame, key: str = "member_id") -> DataFrame:
     """Rows of ``df`` whose key is not quarantined (left-anti join)."""
     return df.join(bad.select(key), on=key, how="left_anti")
+
+
+def quarantine_reasons(named: dict[str, DataFrame], key: str = "member_id") -> DataFrame:
+    """Audit list: every quarantined key once, with the tables it repeats in
+    (``reasons``, comma-separated, sorted). One shuffle on the key; the set
+    per key is bounded by the number of tables."""
+    tagged = None
+    for name, ids in named.items():
+        part = ids.select(key, F.lit(name).alias("source"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    return tagged.groupBy(key).agg(F.concat_ws(",", F.array_sort(F.collect_set("source"))).alias("reasons"))

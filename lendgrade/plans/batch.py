@@ -82,6 +82,10 @@ def run_batch(
     }
     sinks.write_quarantine(dups, layout.bad)
     lists = [spark.read.parquet(layout.bad(n)) for n in dups]
+    sinks.write_parquet(
+        quarantine.quarantine_reasons(dict(zip(("customers", "loans_defaulters_delinq", "loans_defaulters_detail_rec_enq"), lists))),
+        layout.bad("bad_customer_data_reasons"),
+    )
     final = "bad_customer_data_final"
     sinks.write_parquet(quarantine.quarantine(*lists), layout.bad(final))
     catalog.register_external_table(spark, f"{database}.{final}", "member_id string", layout.bad(final))

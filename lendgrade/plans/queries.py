@@ -19,7 +19,7 @@ from ..functions.columns import EMPTY_IDENTITY_KEY
 from ..operators import clean, entities, profile, quarantine
 from ..operators.view import customer_loan
 from ..session import fresh_dir
-from ..sources.schemas import CATALOG_DDL, IDENTITY_COLUMNS, LOANS_DDL, REPAYMENTS_DDL
+from ..sources.schemas import CATALOG_DDL, CUSTOMERS_DDL, IDENTITY_COLUMNS, LOANS_DDL, REPAYMENTS_DDL
 from . import catalog, sinks
 from .stages import Stages
 
@@ -185,6 +185,17 @@ def quarantine_members(spark, sf_dir):
     return _mst(spark, sf_dir).bad
 
 
+def quarantine_reasons(spark, sf_dir):
+    s = _mst(spark, sf_dir)
+    return quarantine.quarantine_reasons(
+        {
+            "customers": s.dup_customers,
+            "loans_defaulters_delinq": s.dup_delinq,
+            "loans_defaulters_detail_rec_enq": s.dup_detail,
+        }
+    )
+
+
 def exclude_customers(spark, sf_dir):
     return _no_ingest(_mst(spark, sf_dir).customers_new)
 
@@ -289,6 +300,29 @@ def quality_profile(spark, sf_dir):
     return out
 
 
+def step_counts(spark, sf_dir):
+    s = _mst(spark, sf_dir)
+    typed_customers = clean.rename_columns(
+        clean.typed(s.split["customers"], CUSTOMERS_DDL), clean.CUSTOMER_RENAMES
+    )
+    typed_repayments = clean.typed(s.split["repayments"], REPAYMENTS_DDL)
+    return profile.step_counts(
+        [
+            ("customers", "raw", s.split["customers"]),
+            ("customers", "distinct", typed_customers.distinct()),
+            ("customers", "with_income", clean.customers_deduplicated(s.split["customers"])),
+            ("loans", "raw", s.split["loans"]),
+            ("loans", "complete", s.loans),
+            ("loans_repayments", "raw", s.split["repayments"]),
+            ("loans_repayments", "complete", typed_repayments.na.drop(how="any", subset=list(clean.REPAYMENT_REQUIRED))),
+            ("loans_repayments", "nonzero_total", s.repayments),
+            ("loans_defaulters", "raw", s.split["defaulters"]),
+            ("loans_defaulters", "delinquent", s.delinq),
+            ("loans_defaulters", "records_or_enquiries", s.records_enq),
+        ]
+    )
+
+
 def key_profile(spark, sf_dir):
     s = _mst(spark, sf_dir)
     parts = [
@@ -332,6 +366,7 @@ QUERIES: dict[str, Builder] = {
     "duplicates_detail": duplicates_detail,
     "quarantine_all_rows": quarantine_all_rows,
     "quarantine": quarantine_members,
+    "quarantine_reasons": quarantine_reasons,
     "exclude_customers": exclude_customers,
     "exclude_delinq": exclude_delinq,
     "exclude_detail": exclude_detail,
@@ -345,4 +380,5 @@ QUERIES: dict[str, Builder] = {
     "grade_distribution": grade_distribution,
     "quality_profile": quality_profile,
     "key_profile": key_profile,
+    "step_counts": step_counts,
 }

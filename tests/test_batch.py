@@ -44,6 +44,14 @@ def test_batch_invariants(spark, batch):
     assert s.where("loan_score is null and loan_final_grade <> 'F'").count() == 0
 
 
+def test_batch_quarantine_audit(spark, batch):
+    root = batch.tables["bad_customer_data_final"].rsplit("/", 1)[0]
+    reasons = spark.read.parquet(f"{root}/bad_customer_data_reasons")
+    final = batch.table(spark, "bad_customer_data_final")
+    assert reasons.count() == final.count() == 45
+    assert reasons.where("reasons = ''").count() == 0
+
+
 def test_batch_view_and_csv_copies(spark, batch):
     v = spark.table("lg_test.customers_loan_v")
     t = batch.table(spark, "customers_loan_t")
