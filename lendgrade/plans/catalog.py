@@ -34,13 +34,6 @@ def register_external_table(spark: SparkSession, qualified: str, ddl: str, locat
     return spark.table(qualified)
 
 
-def publish_table(spark: SparkSession, df: DataFrame, qualified: str, location: str) -> DataFrame:
-    """Write ``df`` as Parquet at ``location`` and register it as an external
-    table (overwrite on rerun)."""
-    df.write.mode("overwrite").option("path", location).format("parquet").saveAsTable(qualified)
-    return spark.table(qualified)
-
-
 def customer_loan_view_sql(db: str, view: str = "customers_loan_v", suffix: str = "_new") -> str:
     """SQL text of the consolidated view over the quarantined tables."""
     cols = (

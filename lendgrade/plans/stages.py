@@ -17,25 +17,35 @@ from ..session import fresh_dir
 from ..sources.fixture import raw_applications
 
 
+LANDING = ("keyed",)
+ALL_SHARED = ("keyed", "customers", "bad")
+
+
 class Stages:
-    """``materialize=True`` writes the stages that many branches reuse (the
-    keyed raw table, cleaned customers, the quarantine list) once as Parquet
-    under the shared folder and reads them back: each is computed once per
-    run instead of once per consumer, and lineage is cut at shared storage
-    so a lost executor never replays the raw derivation."""
+    """``materialize`` names the stages written once as Parquet under the
+    shared folder and read back (``True`` = the landing of the keyed raw
+    table). Landing matters most: every branch of a plan (customers, loans,
+    repayments, two defaulter subsets, three duplicate counts) starts from
+    the raw table, and each would otherwise repeat the raw derivation and
+    the key hashing with its own column set. Subtrees that are identical
+    inside one plan (the customers distinct, the quarantine list used by
+    four anti joins) are computed once by exchange reuse and need no write;
+    ``ALL_SHARED`` also writes those, cutting lineage at every shared stage."""
 
     def __init__(
         self,
         raw: DataFrame,
         cfg: ScoreConfig = DEFAULT_CONFIG,
         ingest_ts=None,
-        materialize: bool = False,
+        materialize: bool | tuple[str, ...] = False,
         run_dir: str | None = None,
     ) -> None:
         self.raw = raw
         self.cfg = cfg
         self.ingest_ts = ingest_ts
-        self.materialize = materialize
+        if materialize is True:
+            materialize = LANDING
+        self.materialize: tuple[str, ...] = tuple(materialize or ())
         self._run_dir = run_dir
 
     @property
@@ -45,7 +55,7 @@ class Stages:
         return self._run_dir
 
     def _land(self, df: DataFrame, label: str) -> DataFrame:
-        if not self.materialize:
+        if label not in self.materialize:
             return df
         path = f"{self.run_dir}/{label}"
         df.write.mode("overwrite").parquet(path)
