@@ -242,6 +242,10 @@ def publish_catalog(spark: SparkSession, s: Stages) -> str:
     return db
 
 
+def customer_loan_relation(spark, sf_dir):
+    return _mst(spark, sf_dir).customer_loan
+
+
 def customer_loan_view(spark, sf_dir):
     db = publish_catalog(spark, _mst(spark, sf_dir))
     return catalog.create_customer_loan_view(spark, db)
@@ -370,6 +374,7 @@ QUERIES: dict[str, Builder] = {
     "exclude_customers": exclude_customers,
     "exclude_delinq": exclude_delinq,
     "exclude_detail": exclude_detail,
+    "customer_loan": customer_loan_relation,
     "customer_loan_view": customer_loan_view,
     "customer_loan_table": customer_loan_table,
     "payment_history_points": payment_history_points,
