@@ -38,6 +38,15 @@ def null_profile(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def approx_key_cardinality(df: DataFrame, key: str = "member_id", rsd: float = 0.01) -> DataFrame:
+    """row_count, approx_distinct_keys: one pass, no shuffle of the keys
+    (HyperLogLog++ sketches merged from every task)."""
+    return df.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.approx_count_distinct(key, rsd).alias("approx_distinct_keys"),
+    )
+
+
 def key_profile(df: DataFrame, name: str, key: str = "member_id", empty_key: str = EMPTY_IDENTITY_KEY) -> DataFrame:
     """table_name, row_count, distinct_keys, repeated_keys,
     rows_with_repeated_key, empty_identity_rows."""

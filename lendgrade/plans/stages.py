@@ -54,6 +54,18 @@ class Stages:
             self._run_dir = fresh_dir(self.raw.sparkSession, "stages")
         return self._run_dir
 
+    def cleanup(self) -> None:
+        """Delete this run's stage folder (call once every DataFrame built
+        from these stages has been consumed). Uses the cluster's Hadoop file
+        system, so it works on shared storage as well as locally."""
+        if self._run_dir is None:
+            return
+        spark = self.raw.sparkSession
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self._run_dir)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self._run_dir = None
+
     def _land(self, df: DataFrame, label: str) -> DataFrame:
         if label not in self.materialize:
             return df

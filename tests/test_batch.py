@@ -66,3 +66,14 @@ def test_batch_rerun_is_idempotent(spark, sf_small, batch):
     root = batch.tables["loan_score"].rsplit("/processed/", 1)[0]
     res2 = run_batch(spark, raw_applications(spark, sf_small), Layout(root), ingest_ts="2024-01-01 00:00:00", database="lg_test", csv_copies=False)
     assert res2.table(spark, "loan_score").count() == 1208
+
+
+def test_stage_folder_cleanup(spark, sf_small):
+    import os
+
+    s = Stages.from_testdata(spark, sf_small, materialize=True)
+    assert s.keyed.count() == 1500
+    local = s.run_dir.replace("file:", "")
+    assert os.path.isdir(local)
+    s.cleanup()
+    assert not os.path.exists(local)
