@@ -84,3 +84,30 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     elif path.startswith("/"):
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def cluster_conf(
+    input_bytes: int,
+    scan_partition_bytes: int = 128 * 1024 * 1024,
+    shuffle_partition_bytes: int = 256 * 1024 * 1024,
+    max_shuffle_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    Scan splits of ``scan_partition_bytes``; an initial shuffle partition
+    count sized as if the whole input were shuffled at
+    ``shuffle_partition_bytes`` per partition, capped (the shuffle block count
+    grows with mappers x reducers, and shuffled projections are a fraction of
+    the input). AQE coalesces partitions for smaller intermediates and splits
+    skewed ones. Apply with ``SparkSession.builder.config(map=...)`` together
+    with ``RECOMMENDED_CONF``.
+    """
+    partitions = -(-int(input_bytes) // int(shuffle_partition_bytes))
+    partitions = max(200, min(max_shuffle_partitions, partitions))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(scan_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(shuffle_partition_bytes),
+    }

@@ -30,12 +30,16 @@ RAW_DDL = (
 )
 
 
+# Files per micro-batch: bounds the batch that foreachBatch persists and writes.
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+
+
 def landing_stream(
     spark: SparkSession,
     landing_dir: str,
     schema: str = RAW_DDL,
     fmt: str = "csv",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
     """Streaming DataFrame of keyed raw applications."""
     r = spark.readStream.schema(schema).format(fmt)
@@ -67,7 +71,7 @@ def ingest_landing(
     fmt: str = "csv",
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Start the ingestion; ``available_now`` processes what is there and
     stops, otherwise it keeps polling every ``processing_time``."""

@@ -63,3 +63,11 @@ def test_band_points_first_match_and_default(spark):
     rows = df.select(with_default.alias("a"), no_default.alias("b")).collect()
     assert [r.a for r in rows] == [1, 1, 0, 0]
     assert [r.b for r in rows] == [1, 1, None, None]
+
+
+def test_cluster_conf_sizes_partitions():
+    from lendgrade.session import cluster_conf
+
+    assert cluster_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_conf(1 * 2**40)["spark.sql.shuffle.partitions"] == str(2**40 // (256 * 2**20))
+    assert cluster_conf(10)["spark.sql.shuffle.partitions"] == "200"
