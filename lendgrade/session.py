@@ -60,8 +60,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` as configured for the cluster; only when it
-    is unset (local tests) a private temporary folder is created and set.
+    Uses ``spark.checkpoint.dir`` as configured for the cluster. Only in
+    local mode (tests) an unset setting gets a private temporary folder; on
+    a cluster an unset setting is an error, never a machine-local path.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,6 +71,11 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0]
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at shared storage (HDFS, object store) "
+                "so stage tables written by one executor can be read by all"
+            )
         conf_dir = tempfile.mkdtemp(prefix="lendgrade-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir
