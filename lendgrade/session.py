@@ -48,6 +48,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", _driver_memory())
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Local inputs are a few MB; the 1 MB default floor would coalesce a
+        # CPU-heavy shuffle output (wide derivation, SHA-256) into 2 tasks.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
