@@ -61,3 +61,18 @@ def test_duplicate_count_is_partial_before_shuffle(spark):
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     assert [r.member_id for r in d.collect()] == ["hot"]
+
+
+def test_raw_derivation_never_broadcasts_customer(spark, sf_small):
+    # customer grows with the data: even at sf0.001, where it would fit the
+    # broadcast threshold, it is joined by a shuffle; only nation (fixed 25
+    # rows) may be broadcast.
+    from lendgrade.sources.fixture import raw_applications
+
+    raw = raw_applications(spark, sf_small)
+    assert raw.count() == spark.read.parquet(f"{sf_small}/orders.parquet").count()
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan, plan
+    for line in plan.splitlines():
+        if "BroadcastHashJoin" in line:
+            assert "c_custkey" not in line, plan
