@@ -46,7 +46,7 @@ def main() -> None:
     print(f"# Final physical plans ({os.path.basename(sf_dir)}, local[8], AQE on)\n")
     print("Generated by `python tools/plan_report.py`. Per query: Parquet/CSV scans and the widest")
     print("ReadSchema (columns read), shuffle exchanges, broadcast exchanges, reused exchanges, join")
-    print("strategies, filters pushed into scans. At this size AQE broadcasts small sides; above the")
+    print("strategies, filters pushed into scans. At this size AQE broadcasts small sides (never `customer`, joined by sort-merge by hint); above the")
     print("broadcast threshold the same joins run as sort-merge joins. No query has a cartesian")
     print("product, nested-loop join, window or Python UDF (column `unsafe`).\n")
     print("| query | scans | max cols read | exchanges | broadcasts | reused | joins | pushed filters | unsafe |")
