@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -84,14 +85,44 @@ def shared_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
-def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder under the shared folder."""
+# Scratch folders made by this driver process: (jvm, hadoop conf, path).
+_SCRATCH: list[tuple[object, object, str]] = []
+_EXIT_HOOK = False
+
+
+def _remove_scratch() -> None:
+    """Delete this process's scratch folders at exit. Runs before PySpark's
+    own exit hook stops the JVM (``atexit`` is last-in, first-out), and goes
+    through the Hadoop file system, so shared storage is cleaned as well."""
+    while _SCRATCH:
+        jvm, hconf, path = _SCRATCH.pop()
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(hconf).delete(p, True)
+        except Exception:  # JVM already gone: nothing more can be done
+            pass
+
+
+def fresh_dir(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new, unique folder under the shared folder.
+
+    Unless ``keep``, the folder is scratch: it is deleted when this driver
+    process exits, after every DataFrame read from it has been consumed, so
+    repeated runs do not pile up stage copies on shared storage.
+    """
     base = shared_dir(spark)
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
     if path.startswith("file:"):
         os.makedirs(path[len("file:"):], exist_ok=True)
     elif path.startswith("/"):
         os.makedirs(path, exist_ok=True)
+    if not keep:
+        global _EXIT_HOOK
+        sc = spark.sparkContext
+        if not _EXIT_HOOK:  # registered after the JVM is up, so it runs first
+            atexit.register(_remove_scratch)
+            _EXIT_HOOK = True
+        _SCRATCH.append((sc._jvm, sc._jsc.hadoopConfiguration(), path))
     return path
 
 
