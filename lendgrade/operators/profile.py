@@ -66,9 +66,12 @@ def key_profile(df: DataFrame, name: str, key: str = "member_id", empty_key: str
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
-    """column, total: rows per value, most frequent first (``top`` keeps the
-    first rows only, for a report)."""
-    out = df.groupBy(column).agg(F.count(F.lit(1)).alias("total")).orderBy(F.col("total").desc())
+    """column, total: rows per value, most frequent first, ties by value
+    (``top`` keeps the first rows only, for a report; the tiebreak makes the
+    cut deterministic)."""
+    out = df.groupBy(column).agg(F.count(F.lit(1)).alias("total")).orderBy(
+        F.col("total").desc(), F.col(column).asc_nulls_last()
+    )
     return out.limit(top) if top is not None else out
 
 

@@ -29,3 +29,12 @@ def test_approx_key_cardinality_close_to_exact(spark):
     df = spark.range(20000).selectExpr("CAST(id % 5000 AS STRING) AS member_id")
     r = approx_key_cardinality(df).first()
     assert r.row_count == 20000 and abs(r.approx_distinct_keys - 5000) <= 250
+
+
+def test_value_counts_top_cut_is_deterministic(spark):
+    from lendgrade.operators import profile
+
+    # a, b, c and null tie at 2 rows; the top-3 cut keeps the most frequent value
+    # and breaks the tie by value, nulls last
+    df = spark.createDataFrame([(v,) for v in "dddabcabc"] + [(None,), (None,)], "v string")
+    assert [tuple(r) for r in profile.value_counts(df, "v", top=3).collect()] == [("d", 3), ("a", 2), ("b", 2)]
