@@ -10,13 +10,42 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrade.llm import bpe, packing, simhash
+from lendgrade.llm import bpe, learning, packing, quality, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: A document's label serves for learning unless its fold is the one held out.
+QUALITY_FOLDS, QUALITY_HELD, QUALITY_KEPT = 3, 1, 0.5
+TOXIC_FOLDS, TOXIC_HELD, TOXIC_FROM = 4, 2, 0.3
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.ByteNet | float:
+    return quality.fit_labelled(docs, labels, learning.fold(F.col("doc_id"), QUALITY_FOLDS) != QUALITY_HELD)
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Crf | None:
+    return toxicity.fit_labelled(docs, labels, learning.fold(F.col("doc_id"), TOXIC_FOLDS) != TOXIC_HELD)
+
+
+def _held(folds: int, held: int):
+    return F.coalesce(learning.fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out")
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return scored.select("doc_id", _held(QUALITY_FOLDS, QUALITY_HELD), "score", (F.col("score") >= QUALITY_KEPT).cast("int").alias("predicted"))
+
+
+def op10_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return scored.select("doc_id", _held(TOXIC_FOLDS, TOXIC_HELD), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "spans")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -31,6 +60,6 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op10_toxicity_crf)}
 
 ORACLE_SQL: dict[str, str] = {}
