@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrade.llm import bpe, learning, packing, quality, simhash, toxicity
+from lendgrade.llm import bpe, extraction, learning, packing, quality, simhash, toxicity, urlfilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,18 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op10_toxicity_crf)}
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+#: (verdict, host/path); the longest that fits decides.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"]).drop("score")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op9_url_filter, op10_toxicity_crf)}
 
 ORACLE_SQL: dict[str, str] = {}
