@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from lendgrade.llm.common import score_partitions
 
 #: Pieces kept by a worker with their ids, and the longest piece kept.
-CACHE_PIECES, CACHE_LENGTH = 400_000, 48
+CACHE_PIECES, CACHE_LENGTH = 1_000_000, 48
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
