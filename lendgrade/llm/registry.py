@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrade.llm import bpe, extraction, learning, packing, quality, simhash, toxicity, urlfilter
+from lendgrade.llm import bpe, extraction, learning, packing, pivots, quality, simhash, topk, toxicity, urlfilter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,16 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest binary codes of every vector whose id divides by 100."""
+    found = topk.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 #: (verdict, host/path); the longest that fits decides.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -72,6 +82,36 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"]).drop("score")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op9_url_filter, op10_toxicity_crf)}
-
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op7_embedding_near_dedup, op8_exact_topk, op9_url_filter, op10_toxicity_crf)}
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_embedding_near_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        ), links AS (
+            SELECT a.vec_id AS x, b.vec_id AS y
+            FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+        ), reach(x, y) AS (
+            SELECT vec_id, vec_id FROM v
+            UNION
+            SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+        ), least AS (SELECT x, min(y) AS c FROM reach GROUP BY x),
+        degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+        SELECT v.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links,
+               l.c AS component_id, v.vec_id = l.c AS kept
+        FROM v JOIN least l ON l.x = v.vec_id LEFT JOIN degree d ON d.x = v.vec_id
+    """,
+    "op8_exact_topk": """
+        WITH b AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS c FROM embeddings
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, t.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.c, t.c), lambda z: CASE WHEN z[1] <> z[2] THEN 1 ELSE 0 END)) AS BIGINT) AS distance
+            FROM b q JOIN b t ON t.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank FROM pairs
+        )
+        SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10
+    """,
+}

@@ -143,7 +143,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url", text
 
     by_host = host_words.select("host", F.concat(F.lit("h "), "word").alias("word")).join(weights, "word").groupBy("host").agg(F.sum("w").alias("host_score"))
     wordings = pairs.select("wording").distinct()
-    by_path = wordings.select("wording", F.concat(F.lit("p "), F.explode(F.split("wording", " "))).alias("word")).join(weights, "word").groupBy("wording").agg(F.sum("w").alias("path_score"))
+    by_path = wordings.select("wording", F.explode(F.split("wording", " ")).alias("word")).select("wording", F.concat(F.lit("p "), "word").alias("word")).join(weights, "word").groupBy("wording").agg(F.sum("w").alias("path_score"))
     scored = urls.join(landed(by_host, "by-host"), "host", "left").join(landed(by_path, "by-path"), "wording", "left")
     score = F.lit(base) + F.coalesce("host_score", F.lit(0.0)) + F.coalesce("path_score", F.lit(0.0))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
