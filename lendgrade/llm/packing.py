@@ -42,7 +42,7 @@ from pyspark.sql.types import StructType
 from lendgrade.llm.common import bounded_batches, landed, steps
 
 #: Chunks of text between white space kept by a worker with their ids.
-CACHE_CHUNKS, CACHE_LENGTH = 500_000, 48
+CACHE_CHUNKS, CACHE_LENGTH = 900_000, 48
 #: A length is large if it is over this share of the capacity; groups of them.
 LARGE_SHARE, GROUPS = 0.2, 48
 
@@ -62,10 +62,14 @@ class ChunkTokenizer:
     def __init__(self, data: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_buffer(data)
         spec = json.loads(data)
+        # the same merges for words that are split and lower-case already
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+        self.merger = Tokenizer(models.BPE(vocab=spec["model"]["vocab"], merges=merges, end_of_word_suffix=spec["model"]["end_of_word_suffix"], cache_capacity=0))
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.find = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         ending = spec["model"]["end_of_word_suffix"]
         vocabulary = spec["model"]["vocab"]
@@ -84,9 +88,9 @@ class ChunkTokenizer:
         return max(chunk) < "\u0250" and "\u0130" not in chunk and not any(x in chunk for x in self.special)
 
     def _learn_words(self, words: list[str]) -> None:
-        for i in range(0, len(words), 200):
-            some = words[i : i + 200]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+        for i in range(0, len(words), 100):
+            some = words[i : i + 100]
+            ids = np.array(self.merger.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
             ends = (np.flatnonzero(self.last[ids]) + 1) * 4
             if len(ends) != len(some):
                 raise ValueError("the vocabulary does not end each word by a token of its own")

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrade.llm import bpe, extraction, learning, packing, pivots, quality, simhash, topk, toxicity, urlfilter
+from lendgrade.llm import bpe, extraction, learning, packing, pivots, quality, simhash, topk, toxicity, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,11 @@ def op10_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", _held(TOXIC_FOLDS, TOXIC_HELD), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "spans")
 
 
+def op2_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -82,9 +87,29 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"]).drop("score")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op7_embedding_near_dedup, op8_exact_topk, op9_url_filter, op10_toxicity_crf)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_warc_shards, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op7_embedding_near_dedup, op8_exact_topk, op9_url_filter, op10_toxicity_crf)}
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc_shards": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS h FROM pages
+        ), d AS (
+            SELECT page_id, strlen(h) AS n, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS top FROM p
+        ), bits AS (
+            SELECT *, list_aggregate(list_transform(range(1, 41), lambda i:
+                substr('0000000100100011010001010110011110001001101010111100110111101111',
+                       4 * instr('0123456789abcdef', substr(x, CAST(i AS INTEGER), 1)) - 3, 4)), 'string_agg', '') AS b FROM d
+        )
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+               list_aggregate(list_transform(range(0, 32), lambda i:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+                       + 16 * CAST(substr(b, CAST(5 * i + 1 AS INTEGER), 1) AS INTEGER) + 8 * CAST(substr(b, CAST(5 * i + 2 AS INTEGER), 1) AS INTEGER)
+                       + 4 * CAST(substr(b, CAST(5 * i + 3 AS INTEGER), 1) AS INTEGER) + 2 * CAST(substr(b, CAST(5 * i + 4 AS INTEGER), 1) AS INTEGER)
+                       + CAST(substr(b, CAST(5 * i + 5 AS INTEGER), 1) AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> top THEN top END AS refers_to
+        FROM bits
+    """,
     "op7_embedding_near_dedup": """
         WITH RECURSIVE v AS (
             SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
