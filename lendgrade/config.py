@@ -54,7 +54,7 @@ class ScoreConfig:
     lowest grade cut-off (750).
     ``population``: ``"delinquent"`` scores only members present in the
     delinquency table (inner join, as published); ``"all"`` keeps members
-    without delinquency history and treats their counters as unknown.
+    without delinquency history, with no delinquency counted (0).
     ``null_component``: ``"null"`` lets an unmatched band make the whole score
     NULL (published behaviour, graded F); ``"unacceptable"`` scores it with
     the unacceptable points instead.

@@ -6,12 +6,9 @@ from .columns import (
     digits_only,
     digits_to_int,
     in_lookup,
-    is_zero_text,
     longer_than,
     member_key,
     null_if_zero_text,
-    to_double,
-    to_int,
 )
 
 __all__ = [
@@ -21,10 +18,7 @@ __all__ = [
     "digits_only",
     "digits_to_int",
     "in_lookup",
-    "is_zero_text",
     "longer_than",
     "member_key",
     "null_if_zero_text",
-    "to_double",
-    "to_int",
 ]

@@ -37,15 +37,6 @@ def member_key(columns: Sequence[str] = IDENTITY_COLUMNS, null_token: str | None
 EMPTY_IDENTITY_KEY = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
-def to_int(c: str | Column) -> Column:
-    """Text or number -> int; unparsable text -> NULL (never raises)."""
-    return col_(c).try_cast("int")
-
-
-def to_double(c: str | Column) -> Column:
-    return col_(c).try_cast("double")
-
-
 def digits_only(c: str | Column) -> Column:
     """Remove every non-digit character."""
     return F.regexp_replace(col_(c), r"\D", "")
@@ -56,11 +47,6 @@ def digits_to_int(c: str | Column) -> Column:
     return digits_only(c).try_cast("int")
 
 
-def is_zero_text(c: str | Column) -> Column:
-    """True when the text parses as the number zero ('0.0', '0')."""
-    return to_double(c) == F.lit(0.0)
-
-
 def null_if_zero_text(c: str) -> Column:
     """Placeholder dates written as '0.0' become NULL; other text is kept."""
     return F.expr(f"CASE WHEN try_cast(`{c}` AS DOUBLE) = 0.0 THEN CAST(NULL AS STRING) ELSE `{c}` END")

@@ -14,6 +14,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.columns import digits_to_int, in_lookup, longer_than, null_if_zero_text
 from ..sources.schemas import CUSTOMERS_DDL, DEFAULTERS_DDL, LOANS_DDL, REPAYMENTS_DDL
@@ -47,6 +48,7 @@ CUSTOMER_RENAMES = {
     "annual_inc_joint": "join_annual_income",
 }
 
+# Columns without which a row is dropped, and the detail counters.
 LOAN_REQUIRED = (
     "loan_amount",
     "funded_amount",
@@ -68,11 +70,8 @@ DETAIL_COUNTERS = ("pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
 
 
 def _ddl_fields(ddl: str) -> list[tuple[str, str]]:
-    out = []
-    for part in ddl.split(","):
-        name, typ = part.strip().split(None, 1)
-        out.append((name, typ.strip()))
-    return out
+    """Names and types of a DDL schema; commas inside types do not part fields."""
+    return [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl).fields]
 
 
 def typed(df: DataFrame, ddl: str) -> DataFrame:
@@ -107,6 +106,12 @@ def ingest_column(ingest_ts: _dt.datetime | str | None = None) -> Column:
     return F.lit(ingest_ts).cast("timestamp")
 
 
+def run_timestamp(spark) -> str:
+    """The time now, as text that ``ingest_column`` takes: fixed once, it is
+    the same in every table of a run."""
+    return spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]
+
+
 def impute_mean_floor(df: DataFrame, column: str) -> DataFrame:
     """Fill NULLs of ``column`` with floor(mean(column)) over ``df``.
 
@@ -143,9 +148,8 @@ def clean_loans(df: DataFrame, purposes: Iterable[str] = LOAN_PURPOSES, ingest_t
     purposes outside the lookup folded into 'other'."""
     out = typed(df, LOANS_DDL)
     out = out.na.drop(how="any", subset=list(LOAN_REQUIRED))
-    months = F.regexp_replace(F.col("loan_term_months"), " months", "").try_cast("int")
-    out = out.withColumn("loan_term_months", (months / 12).cast("int"))
-    out = out.withColumnRenamed("loan_term_months", "loan_term_years")
+    years = F.floor(digits_to_int("loan_term_months") / 12).cast("int")
+    out = rename_columns(out.withColumn("loan_term_months", years), {"loan_term_months": "loan_term_years"})
     out = out.withColumn("loan_purpose", in_lookup("loan_purpose", purposes, "other"))
     return out.withColumn("ingest_date", ingest_column(ingest_ts))
 
@@ -178,9 +182,32 @@ def clean_defaulters(df: DataFrame) -> DataFrame:
     return out.na.fill(0, subset=["delinq_2yrs"])
 
 
+def all_present(columns: Iterable[str]) -> Column:
+    """None of the columns is NULL."""
+    cond = F.lit(True)
+    for c in columns:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
+def inconsistent_payments(df: DataFrame) -> DataFrame:
+    """Typed repayment rows with all amounts whose total payment is 0 although
+    principal was received: what ``clean_repayments`` repairs."""
+    out = typed(df, REPAYMENTS_DDL).where(all_present(REPAYMENT_REQUIRED))
+    return out.where((F.col("total_payment_received") == 0.0) & (F.col("total_principal_received") != 0.0))
+
+
+def is_delinquent() -> Column:
+    return (F.col("delinq_2yrs") > 0) | (F.col("mths_since_last_delinq") > 0)
+
+
+def has_records_or_enquiries() -> Column:
+    return (F.col("pub_rec") > 0.0) | (F.col("pub_rec_bankruptcies") > 0.0) | (F.col("inq_last_6mths") > 0.0)
+
+
 def delinquent_members(defaulters: DataFrame) -> DataFrame:
     """Rows with any delinquency (count or months since last)."""
-    return defaulters.where((F.col("delinq_2yrs") > 0) | (F.col("mths_since_last_delinq") > 0)).select(
+    return defaulters.where(is_delinquent()).select(
         "member_id",
         "delinq_2yrs",
         "delinq_amnt",
@@ -190,9 +217,7 @@ def delinquent_members(defaulters: DataFrame) -> DataFrame:
 
 def records_or_enquiry_members(defaulters: DataFrame) -> DataFrame:
     """Members with public records, bankruptcies or recent enquiries."""
-    return defaulters.where(
-        (F.col("pub_rec") > 0.0) | (F.col("pub_rec_bankruptcies") > 0.0) | (F.col("inq_last_6mths") > 0.0)
-    ).select("member_id")
+    return defaulters.where(has_records_or_enquiries()).select("member_id")
 
 
 def record_enquiry_detail(defaulters: DataFrame) -> DataFrame:

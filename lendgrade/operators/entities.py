@@ -71,3 +71,9 @@ def split_entities(keyed: DataFrame, country: str = DEFAULT_COUNTRY) -> dict[str
         "repayments": split_repayments(keyed),
         "defaulters": split_defaulters(keyed),
     }
+
+
+def entity_columns() -> dict[str, dict[str, str | None]]:
+    """Per entity: its columns and the raw column of each (None: a literal)."""
+    maps = {"customers": CUSTOMER_SPLIT, "loans": LOAN_SPLIT, "repayments": REPAYMENT_SPLIT, "defaulters": DEFAULTER_SPLIT}
+    return {name: {dst: None if dst == "country" else src for src, dst in m} for name, m in maps.items()}

@@ -38,13 +38,26 @@ def null_profile(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def approx_key_cardinality(df: DataFrame, key: str = "member_id", rsd: float = 0.01) -> DataFrame:
-    """row_count, approx_distinct_keys: one pass, no shuffle of the keys
-    (HyperLogLog++ sketches merged from every task)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.approx_count_distinct(key, rsd).alias("approx_distinct_keys"),
-    )
+def null_profiles(df: DataFrame, tables: dict[str, dict[str, str | None]]) -> DataFrame:
+    """``null_profile`` of several projections of one frame, in one scan:
+    ``tables`` maps each table's columns to the frame's (None: never NULL)."""
+    used = sorted({src for cols in tables.values() for src in cols.values() if src})
+    wide = df.agg(F.count(F.lit(1)).alias("row_count"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n_{c}") for c in used])
+    rows = [
+        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), (F.col(f"n_{src}") if src else F.lit(0).cast("bigint")).alias("null_count"))
+        for t, cols in tables.items()
+        for c, src in cols.items()
+    ]
+    return wide.select("row_count", F.explode(F.array(*rows)).alias("p")).select("p.table_name", "p.column_name", "row_count", "p.null_count")
+
+
+def conditional_counts(df: DataFrame, table: str, steps: dict) -> DataFrame:
+    """table_name, step, row_count: the rows of ``df`` that meet each step's
+    condition (None: all), in one aggregate."""
+    aggs = [(F.count(F.lit(1)) if cond is None else F.count_if(cond)).alias(f"s{i}") for i, cond in enumerate(steps.values())]
+    rows = [F.struct(F.lit(step).alias("step"), F.col(f"s{i}").alias("row_count")) for i, step in enumerate(steps)]
+    long = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("p"))
+    return long.select(F.lit(table).alias("table_name"), "p.step", "p.row_count")
 
 
 def key_profile(df: DataFrame, name: str, key: str = "member_id", empty_key: str = EMPTY_IDENTITY_KEY) -> DataFrame:
@@ -73,16 +86,3 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
         F.col("total").desc(), F.col(column).asc_nulls_last()
     )
     return out.limit(top) if top is not None else out
-
-
-def step_counts(steps) -> DataFrame:
-    """table_name, step, row_count for (table, step, frame) triples: the
-    before/after counts of each cleaning step as one result (each count is a
-    partial/final aggregate over a pruned scan)."""
-    out = None
-    for table, step, df in steps:
-        part = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(table).alias("table_name"), F.lit(step).alias("step"), "row_count"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out

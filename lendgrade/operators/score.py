@@ -31,6 +31,21 @@ DEFAULTER_COMPONENTS = ("delinq_pts", "public_records_pts", "public_bankruptcies
 HEALTH_COMPONENTS = ("loan_status_pts", "home_pts", "credit_limit_pts", "grade_pts")
 SCORE_COLUMNS = ("payment_history_pts", "defaulters_history_pts", "financial_health_pts", "loan_score")
 
+# Last payment against shares of the installment.
+LAST_PAYMENT_BANDS = (
+    ("<", "0.5", "very_bad"),
+    ("<", "1.0", "very_bad"),
+    ("<=", "1.0", "good"),
+    ("<=", "1.5", "very_good"),
+    (">", "1.5", "excellent"),
+)
+# At least half of the funded amount paid back, something of a
+# known amount, or nothing.
+TOTAL_PAYMENT_BANDS = (
+    ("{paid} >= {lent} * 0.5", "very_good"),
+    ("{paid} > 0 AND {lent} IS NOT NULL", "good"),
+    ("coalesce({paid}, 0) = 0", "unacceptable"),
+)
 # Loan-status phrases (matched inside the lower-cased status).
 STATUS_BANDS = (
     (("fully paid",), "excellent"),
@@ -64,29 +79,20 @@ def _lit(s: str) -> str:
 
 # ---- band expressions (SQL text) -----------------------------------------------
 
+def _share_sql(amount: str, base: str, table, cfg: ScoreConfig, default) -> str:
+    """Bands of an amount against shares of a base; the first that fits."""
+    a, b = _c(amount), _c(base)
+    rows = [(f"{a} {op} {b} * {share}", getattr(cfg.points, level)) for op, share, level in table]
+    return band_sql(rows, default=default)
+
+
 def last_payment_sql(amount: str, installment: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
-    p, a, i = cfg.points, _c(amount), _c(installment)
-    return band_sql(
-        [
-            (f"{a} < ({i} * 0.5)", p.very_bad),
-            (f"{a} >= ({i} * 0.5) AND {a} < {i}", p.very_bad),
-            (f"{a} = {i}", p.good),
-            (f"{a} > {i} AND {a} <= ({i} * 1.50)", p.very_good),
-            (f"{a} > ({i} * 1.50)", p.excellent),
-        ],
-        default=p.unacceptable,
-    )
+    return _share_sql(amount, installment, LAST_PAYMENT_BANDS, cfg, cfg.points.unacceptable)
 
 
 def total_payment_sql(total: str, funded: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
-    p, t, f = cfg.points, _c(total), _c(funded)
-    return band_sql(
-        [
-            (f"{t} >= ({f} * 0.50)", p.very_good),
-            (f"{t} < ({f} * 0.50) AND {t} > 0", p.good),
-            (f"({t} = 0 OR {t} IS NULL)", p.unacceptable),
-        ]
-    )
+    names = {"paid": _c(total), "lent": _c(funded)}
+    return band_sql([(rule.format(**names), getattr(cfg.points, level)) for rule, level in TOTAL_PAYMENT_BANDS])
 
 
 def delinq_sql(c: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> str:
@@ -207,13 +213,11 @@ def default_history_points(
     delinq: DataFrame,
     ph: DataFrame,
     cfg: ScoreConfig = DEFAULT_CONFIG,
-    bad: DataFrame | None = None,
 ) -> DataFrame:
-    """Payment points plus delinquency, public record, bankruptcy and
+    """Quarantined (one row per member) detail and delinquency tables give
+    payment points plus delinquency, public record, bankruptcy and
     enquiry points, for members present in all three inputs (or, with
     ``population="all"``, also members without delinquency rows)."""
-    if bad is not None:
-        detail = exclude_members(detail, bad)
     d = delinq.select("member_id", "delinq_2yrs")
     if cfg.population == "delinquent":
         j = detail.join(d, "member_id", "inner").join(ph, "member_id", "inner")
@@ -261,8 +265,8 @@ def _weighted_sql(cols, weight) -> str:
 
 
 def weighted_score(pts: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, keys=("member_id", "loan_id")) -> DataFrame:
-    """Weighted point groups and their sum, computed exactly in decimal and
-    published as double."""
+    """Weighted point groups (``decimal(13,2)``) and their sum
+    (``decimal(15,2)``), exact."""
     w = cfg.weights
     ph = _weighted_sql(PAYMENT_COMPONENTS, w.payment_history)
     dh = _weighted_sql(DEFAULTER_COMPONENTS, w.defaulters_history)
@@ -270,10 +274,10 @@ def weighted_score(pts: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG, keys=("mem
     keys = [k for k in keys if k in pts.columns]
     return pts.selectExpr(
         *[_c(k) for k in keys],
-        f"CAST({ph} AS DOUBLE) AS payment_history_pts",
-        f"CAST({dh} AS DOUBLE) AS defaulters_history_pts",
-        f"CAST({fh} AS DOUBLE) AS financial_health_pts",
-        f"CAST({ph} + {dh} + {fh} AS DOUBLE) AS loan_score",
+        f"CAST({ph} AS DECIMAL(13,2)) AS payment_history_pts",
+        f"CAST({dh} AS DECIMAL(13,2)) AS defaulters_history_pts",
+        f"CAST({fh} AS DECIMAL(13,2)) AS financial_health_pts",
+        f"CAST({ph} + {dh} + {fh} AS DECIMAL(15,2)) AS loan_score",
     )
 
 
@@ -293,7 +297,11 @@ def grade_column(score: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> Column:
 
 
 def final_grade(scored: DataFrame, cfg: ScoreConfig = DEFAULT_CONFIG) -> DataFrame:
-    return scored.withColumn("loan_final_grade", grade_column("loan_score", cfg))
+    """Adds the grade, and ``score_incomplete``: the score is NULL since a
+    component had no band, so its F is not a judgement of the loan."""
+    return scored.withColumns(
+        {"loan_final_grade": grade_column("loan_score", cfg), "score_incomplete": F.col("loan_score").isNull()}
+    )
 
 
 def loan_score(

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .quarantine import exclude_members
 
+# Columns of the consolidated relation, by source table.
 CUSTOMER_VIEW_COLUMNS = (
     "member_id",
     "emp_title",
@@ -72,11 +73,14 @@ def customer_loan(
     repayments: DataFrame,
     delinq: DataFrame,
     detail: DataFrame,
-    bad: DataFrame | None = None,
+    bad: DataFrame,
 ) -> DataFrame:
-    """customers ⟕ loans ⟕ repayments ⟕ delinquency ⟕ detail, 35 columns."""
-    if bad is not None:
-        loans = exclude_members(loans, bad)
+    """customers ⟕ loans ⟕ repayments ⟕ delinquency ⟕ detail, 35 columns.
+
+    ``customers``, ``delinq`` and ``detail`` are the quarantined tables (one
+    row per member); loans of the members in ``bad`` are left out here.
+    """
+    loans = exclude_members(loans, bad)
     c = customers.select(*CUSTOMER_VIEW_COLUMNS)
     l = loans.select("loan_id", F.col("member_id").alias("_l_member"), *LOAN_VIEW_COLUMNS)
     r = repayments.select(F.col("loan_id").alias("_r_loan"), *REPAYMENT_VIEW_COLUMNS)

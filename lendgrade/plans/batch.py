@@ -44,12 +44,19 @@ def run_batch(
     csv_copies: bool = True,
 ) -> BatchResult:
     res = BatchResult(database)
+    if ingest_ts is None:  # one time for all tables of the run
+        ingest_ts = clean.run_timestamp(spark)
 
     # 1. landing: raw applications with the member key, as Parquet
     landed = layout.raw("applications")
     sinks.write_parquet(entities.with_member_key(raw), landed)
     ents = entities.split_entities(spark.read.parquet(landed))
 
+    # the raw entity files, as CSV
+    if csv_copies:
+        for name, df in ents.items():
+            sinks.write_csv(df, layout.raw(f"{name}_csv"))
+
     # 2. cleaning (each table written once; CSV copied from the Parquet)
     cleaned = {
         "customers": clean.clean_customers(ents["customers"], ingest_ts),
@@ -72,7 +79,8 @@ def run_batch(
     for name in cleaned:
         catalog.register_external_table(spark, f"{database}.{name}", ddl[name], layout.cleaned(name, "parquet"))
         res.tables[name] = layout.cleaned(name, "parquet")
-    t = lambda n: spark.table(f"{database}.{n}")
+    # stages read the files that this run wrote, whatever the catalog holds
+    t = lambda n: spark.read.parquet(res.tables[n])
 
     # 4. quarantine: audit lists, final list, `_new` tables
     dups = {

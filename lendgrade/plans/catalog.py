@@ -7,6 +7,7 @@ of a stage does not fail on objects left by the previous run.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators.view import (
     CUSTOMER_VIEW_COLUMNS,
@@ -26,15 +27,39 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
 
 
+def _location(spark: SparkSession, qualified: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}").collect()
+    return next((r["data_type"] for r in rows if r["col_name"] == "Location"), "")
+
+
+def _qualified_path(spark: SparkSession, path: str) -> str:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
 def register_external_table(spark: SparkSession, qualified: str, ddl: str, location: str) -> DataFrame:
-    """An external Parquet table over existing files (columns bind by name)."""
+    """An external Parquet table over existing files (columns bind by name).
+
+    A table of this name that is registered with another location or schema
+    is registered anew; it is external, so no files go. A managed table of
+    this name is an error, since dropping it would delete its data.
+    """
+    if spark.catalog.tableExists(qualified):
+        kind = spark.catalog.getTable(qualified).tableType
+        fields = [(f.name, f.dataType) for f in spark.table(qualified).schema.fields]
+        same = fields == [(f.name, f.dataType) for f in StructType.fromDDL(ddl).fields]
+        if not same or _qualified_path(spark, _location(spark, qualified)) != _qualified_path(spark, location):
+            if kind != "EXTERNAL":
+                raise ValueError(f"{qualified} exists as a {kind.lower()} table")
+            spark.sql(f"DROP TABLE {qualified}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified} ({ddl}) USING parquet LOCATION {_q(location)}")
     # a rerun overwrites the files under an existing table: drop cached listings
     spark.catalog.refreshTable(qualified)
     return spark.table(qualified)
 
 
-def customer_loan_view_sql(db: str, view: str = "customers_loan_v", suffix: str = "_new") -> str:
+def customer_loan_view_sql(db: str, view: str = "customers_loan_v") -> str:
     """SQL text of the consolidated view over the quarantined tables."""
     cols = (
         ["l.loan_id"]
@@ -47,14 +72,14 @@ def customer_loan_view_sql(db: str, view: str = "customers_loan_v", suffix: str
     return f"""
 CREATE OR REPLACE VIEW {db}.{view} AS
 SELECT {', '.join(cols)}
-FROM {db}.customers{suffix} c
+FROM {db}.customers_new c
 LEFT JOIN (
     SELECT x.* FROM {db}.loans x
     LEFT ANTI JOIN {db}.bad_customer_data_final b ON x.member_id = b.member_id
 ) l ON c.member_id = l.member_id
 LEFT JOIN {db}.loans_repayments r ON l.loan_id = r.loan_id
-LEFT JOIN {db}.loans_defaulters_delinq{suffix} d ON c.member_id = d.member_id
-LEFT JOIN {db}.loans_defaulters_detail_rec_enq{suffix} e ON c.member_id = e.member_id
+LEFT JOIN {db}.loans_defaulters_delinq_new d ON c.member_id = d.member_id
+LEFT JOIN {db}.loans_defaulters_detail_rec_enq_new e ON c.member_id = e.member_id
 """
 
 

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import EMPTY_IDENTITY_KEY
 from ..operators import clean, entities, profile, quarantine
 from ..operators.view import customer_loan
-from ..session import fresh_dir
+from ..session import drop_at_exit, fresh_dir
+from ..sources.readers import read_written_csv, read_written_entity_csv
 from ..sources.schemas import CATALOG_DDL, CUSTOMERS_DDL, IDENTITY_COLUMNS, LOANS_DDL, REPAYMENTS_DDL
 from . import catalog, sinks
 from .stages import Stages
@@ -26,13 +27,13 @@ from .stages import Stages
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
-def _st(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Stages:
-    return Stages.from_testdata(spark, sf_dir, materialize=materialize)
+def _st(spark: SparkSession, sf_dir: str) -> Stages:
+    return Stages.from_testdata(spark, sf_dir)
 
 
 def _mst(spark: SparkSession, sf_dir: str) -> Stages:
-    """Stages for multi-branch queries: shared stages written once."""
-    return _st(spark, sf_dir, materialize=True)
+    """Stages for multi-branch queries: written once for all queries."""
+    return Stages.shared(spark, sf_dir)
 
 
 def _no_ingest(df: DataFrame) -> DataFrame:
@@ -61,7 +62,13 @@ def duplicate_keys_ranked(spark, sf_dir):
 
 def blank_identity_rows(spark, sf_dir):
     k = _st(spark, sf_dir).keyed
-    return k.where(F.col("member_id").startswith(EMPTY_IDENTITY_KEY[:17])).select("id", "member_id", *IDENTITY_COLUMNS)
+    return k.where(F.col("member_id") == EMPTY_IDENTITY_KEY).select("id", "member_id", *IDENTITY_COLUMNS)
+
+
+def key_prefix_rows(spark, sf_dir):
+    """Rows whose key starts like that of the all-NULL identity."""
+    k = _st(spark, sf_dir).keyed
+    return k.where(F.col("member_id").startswith(EMPTY_IDENTITY_KEY[:17])).select("id", "member_id")
 
 
 # -- entity split and CSV round trip --------------------------------------------------
@@ -82,18 +89,26 @@ def split_defaulters(spark, sf_dir):
     return _st(spark, sf_dir).split["defaulters"]
 
 
-def _csv_roundtrip(spark, sf_dir, entity: str, ddl: str) -> DataFrame:
+def _csv_roundtrip(spark, sf_dir, entity: str) -> DataFrame:
     path = fresh_dir(spark, f"csv-{entity}")
     sinks.write_csv(_st(spark, sf_dir).split[entity], path)
-    return spark.read.schema(ddl).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return read_written_entity_csv(spark, path, entity)
+
+
+def csv_roundtrip_customers(spark, sf_dir):
+    return _csv_roundtrip(spark, sf_dir, "customers")
 
 
 def csv_roundtrip_loans(spark, sf_dir):
-    return _csv_roundtrip(spark, sf_dir, "loans", LOANS_DDL)
+    return _csv_roundtrip(spark, sf_dir, "loans")
 
 
 def csv_roundtrip_repayments(spark, sf_dir):
-    return _csv_roundtrip(spark, sf_dir, "repayments", REPAYMENTS_DDL)
+    return _csv_roundtrip(spark, sf_dir, "repayments")
+
+
+def csv_roundtrip_defaulters(spark, sf_dir):
+    return _csv_roundtrip(spark, sf_dir, "defaulters")
 
 
 # -- cleaning -------------------------------------------------------------------------
@@ -120,7 +135,7 @@ def clean_loans(spark, sf_dir):
 
 
 def purpose_counts_top(spark, sf_dir):
-    return profile.value_counts(_st(spark, sf_dir).loans, "loan_purpose", top=40)
+    return profile.value_counts(_st(spark, sf_dir).loans, "loan_purpose")
 
 
 def clean_repayments(spark, sf_dir):
@@ -147,9 +162,19 @@ def invalid_payment_rows(spark, sf_dir):
 
 
 def delinquency_histogram(spark, sf_dir):
+    """The report's first 40 lines (a top-k report)."""
     return profile.value_counts(_st(spark, sf_dir).defaulters, "delinq_2yrs", top=40)
 
 
+def delinquency_counts(spark, sf_dir):
+    return profile.value_counts(_st(spark, sf_dir).defaulters, "delinq_2yrs")
+
+
+def unpaid_with_principal(spark, sf_dir):
+    """The repayment rows whose total is 0 although principal was received."""
+    return clean.inconsistent_payments(_st(spark, sf_dir).split["repayments"])
+
+
 def delinquent_members(spark, sf_dir):
     return _st(spark, sf_dir).delinq
 
@@ -185,15 +210,28 @@ def quarantine_members(spark, sf_dir):
     return _mst(spark, sf_dir).bad
 
 
+def _duplicates(s: Stages) -> dict[str, DataFrame]:
+    return {
+        "customers": s.dup_customers,
+        "loans_defaulters_delinq": s.dup_delinq,
+        "loans_defaulters_detail_rec_enq": s.dup_detail,
+    }
+
+
 def quarantine_reasons(spark, sf_dir):
-    s = _mst(spark, sf_dir)
-    return quarantine.quarantine_reasons(
-        {
-            "customers": s.dup_customers,
-            "loans_defaulters_delinq": s.dup_delinq,
-            "loans_defaulters_detail_rec_enq": s.dup_detail,
-        }
-    )
+    return quarantine.quarantine_reasons(_duplicates(_mst(spark, sf_dir)))
+
+
+def quarantine_audit(spark, sf_dir):
+    """The audit lists as written and read back, with the table of each."""
+    root = fresh_dir(spark, "audit")
+    lists = _duplicates(_mst(spark, sf_dir))
+    sinks.write_quarantine(lists, lambda name: f"{root}/{name}")
+    out = None
+    for name, ids in lists.items():
+        part = spark.read.schema(ids.schema).parquet(f"{root}/{name}").select(F.lit(name).alias("table_name"), "member_id")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def exclude_customers(spark, sf_dir):
@@ -215,6 +253,7 @@ def publish_catalog(spark: SparkSession, s: Stages) -> str:
     tables in a new database; returns the database name."""
     root = fresh_dir(spark, "catalog")
     db = f"lendgrade_{uuid.uuid4().hex[:10]}"
+    drop_at_exit(spark, db)  # with the scratch that its tables lie in
     catalog.create_database(spark, db, f"{root}/{db}.db")
     tables = {
         "customers": s.customers,
@@ -263,8 +302,17 @@ def customer_loan_table(spark, sf_dir):
         t("bad_customer_data_final"),
     )
     root = fresh_dir(spark, "customers_loan_t")
-    written = sinks.write_dual(rel, f"{root}/parquet", f"{root}/csv")
-    return catalog.materialise(spark, written, f"{db}.customers_loan_t", f"{root}/table")
+    stored = catalog.materialise(spark, rel, f"{db}.customers_loan_t", f"{root}/parquet")
+    sinks.write_csv(stored, f"{root}/csv")
+    return stored
+
+
+def customer_loan_csv(spark, sf_dir):
+    """The consolidated relation from the CSV half of the dual sink."""
+    root = fresh_dir(spark, "customers_loan_dual")
+    written = sinks.write_dual(_mst(spark, sf_dir).customer_loan, f"{root}/parquet", f"{root}/csv")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema.fields)
+    return read_written_csv(spark, f"{root}/csv", ddl)
 
 
 # -- scoring --------------------------------------------------------------------------
@@ -281,12 +329,17 @@ def financial_health_points(spark, sf_dir):
     return _mst(spark, sf_dir).health_points
 
 
+def _as_doubles(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, the type that both engines return alike."""
+    return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
+
+
 def weighted_score(spark, sf_dir):
-    return _mst(spark, sf_dir).weighted
+    return _as_doubles(_mst(spark, sf_dir).weighted)
 
 
 def loan_score(spark, sf_dir):
-    return _mst(spark, sf_dir).loan_score
+    return _as_doubles(_mst(spark, sf_dir).loan_score)
 
 
 def grade_distribution(spark, sf_dir):
@@ -296,49 +349,63 @@ def grade_distribution(spark, sf_dir):
 # -- profiles -------------------------------------------------------------------------
 
 def quality_profile(spark, sf_dir):
-    s = _mst(spark, sf_dir)
-    parts = [profile.null_profile(df, name) for name, df in s.split.items()]
+    return profile.null_profiles(_st(spark, sf_dir).keyed, entities.entity_columns())
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def cleaned_profile(spark, sf_dir):
+    """NULLs by column after the repairs."""
+    s = _mst(spark, sf_dir)
+    tables = {
+        "customers": _no_ingest(s.customers),
+        "loans": _no_ingest(s.loans),
+        "loans_repayments": _no_ingest(s.repayments),
+        "loans_defaulters_delinq": s.delinq,
+        "loans_defaulters_detail_rec_enq": s.detail,
+    }
+    return _union([profile.null_profile(df, name) for name, df in tables.items()])
+
+
 def step_counts(spark, sf_dir):
+    """Rows before and after each cleaning step: one aggregate per source."""
     s = _mst(spark, sf_dir)
-    typed_customers = clean.rename_columns(
-        clean.typed(s.split["customers"], CUSTOMERS_DDL), clean.CUSTOMER_RENAMES
-    )
-    typed_repayments = clean.typed(s.split["repayments"], REPAYMENTS_DDL)
-    return profile.step_counts(
+    customers = clean.rename_columns(clean.typed(s.split["customers"], CUSTOMERS_DDL), clean.CUSTOMER_RENAMES)
+    loans = clean.typed(s.split["loans"], LOANS_DDL)
+    repayments = clean.typed(s.split["repayments"], REPAYMENTS_DDL)
+    full = clean.all_present(clean.REPAYMENT_REQUIRED)
+    return _union(
         [
-            ("customers", "raw", s.split["customers"]),
-            ("customers", "distinct", typed_customers.distinct()),
-            ("customers", "with_income", clean.customers_deduplicated(s.split["customers"])),
-            ("loans", "raw", s.split["loans"]),
-            ("loans", "complete", s.loans),
-            ("loans_repayments", "raw", s.split["repayments"]),
-            ("loans_repayments", "complete", typed_repayments.na.drop(how="any", subset=list(clean.REPAYMENT_REQUIRED))),
-            ("loans_repayments", "nonzero_total", s.repayments),
-            ("loans_defaulters", "raw", s.split["defaulters"]),
-            ("loans_defaulters", "delinquent", s.delinq),
-            ("loans_defaulters", "records_or_enquiries", s.records_enq),
+            profile.conditional_counts(s.split["customers"], "customers", {"raw": None}),
+            profile.conditional_counts(customers.distinct(), "customers", {"distinct": None, "with_income": F.col("annual_income").isNotNull()}),
+            profile.conditional_counts(loans, "loans", {"raw": None, "complete": clean.all_present(clean.LOAN_REQUIRED)}),
+            profile.conditional_counts(
+                repayments, "loans_repayments", {"raw": None, "complete": full, "nonzero_total": full & (clean.repaired_total_payment() != 0.0)}
+            ),
+            profile.conditional_counts(
+                s.defaulters, "loans_defaulters", {"raw": None, "delinquent": clean.is_delinquent(), "records_or_enquiries": clean.has_records_or_enquiries()}
+            ),
         ]
     )
 
 
 def key_profile(spark, sf_dir):
     s = _mst(spark, sf_dir)
-    parts = [
-        profile.key_profile(s.keyed, "raw_applications"),
-        profile.key_profile(s.customers, "customers"),
-        profile.key_profile(s.delinq, "loans_defaulters_delinq"),
-        profile.key_profile(s.detail, "loans_defaulters_detail_rec_enq"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tables = {
+        "raw_applications": s.keyed,
+        "customers": s.customers,
+        "loans_defaulters_delinq": s.delinq,
+        "loans_defaulters_detail_rec_enq": s.detail,
+        "customers_new": s.customers_new,
+        "loans_defaulters_delinq_new": s.delinq_new,
+        "loans_defaulters_detail_rec_enq_new": s.detail_new,
+    }
+    return _union([profile.key_profile(df, name) for name, df in tables.items()])
 
 
 QUERIES: dict[str, Builder] = {
@@ -347,12 +414,15 @@ QUERIES: dict[str, Builder] = {
     "key_cardinality": key_cardinality,
     "duplicate_keys_ranked": duplicate_keys_ranked,
     "blank_identity_rows": blank_identity_rows,
+    "key_prefix_rows": key_prefix_rows,
     "split_customers": split_customers,
     "split_loans": split_loans,
     "split_repayments": split_repayments,
     "split_defaulters": split_defaulters,
+    "csv_roundtrip_customers": csv_roundtrip_customers,
     "csv_roundtrip_loans": csv_roundtrip_loans,
     "csv_roundtrip_repayments": csv_roundtrip_repayments,
+    "csv_roundtrip_defaulters": csv_roundtrip_defaulters,
     "clean_customers": clean_customers,
     "emp_length_values": emp_length_values,
     "state_values": state_values,
@@ -361,7 +431,9 @@ QUERIES: dict[str, Builder] = {
     "purpose_counts_top": purpose_counts_top,
     "clean_repayments": clean_repayments,
     "invalid_payment_rows": invalid_payment_rows,
+    "unpaid_with_principal": unpaid_with_principal,
     "delinquency_histogram": delinquency_histogram,
+    "delinquency_counts": delinquency_counts,
     "delinquent_members": delinquent_members,
     "records_or_enquiry_members": records_or_enquiry_members,
     "record_enquiry_detail": record_enquiry_detail,
@@ -371,12 +443,14 @@ QUERIES: dict[str, Builder] = {
     "quarantine_all_rows": quarantine_all_rows,
     "quarantine": quarantine_members,
     "quarantine_reasons": quarantine_reasons,
+    "quarantine_audit": quarantine_audit,
     "exclude_customers": exclude_customers,
     "exclude_delinq": exclude_delinq,
     "exclude_detail": exclude_detail,
     "customer_loan": customer_loan_relation,
     "customer_loan_view": customer_loan_view,
     "customer_loan_table": customer_loan_table,
+    "customer_loan_csv": customer_loan_csv,
     "payment_history_points": payment_history_points,
     "default_history_points": default_history_points,
     "financial_health_points": financial_health_points,
@@ -384,6 +458,7 @@ QUERIES: dict[str, Builder] = {
     "loan_score": loan_score,
     "grade_distribution": grade_distribution,
     "quality_profile": quality_profile,
+    "cleaned_profile": cleaned_profile,
     "key_profile": key_profile,
     "step_counts": step_counts,
 }

@@ -11,6 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from ..sources.readers import CSV_OPTIONS, encode_text
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None) -> None:
@@ -20,15 +24,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
-    df.write.mode(mode).option("header", header).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV that ``readers.read_written_csv`` reads back without loss."""
+    texts = {f.name: encode_text(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    df.withColumns(texts).write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_dual(df: DataFrame, parquet_path: str, csv_path: str, mode: str = "overwrite") -> DataFrame:
     """Write Parquet, then CSV from the written Parquet; return the Parquet
     read back (lineage cut at shared storage)."""
     write_parquet(df, parquet_path, mode)
-    written = df.sparkSession.read.parquet(parquet_path)
+    written = df.sparkSession.read.schema(df.schema).parquet(parquet_path)
     write_csv(written, csv_path, mode)
     return written
 

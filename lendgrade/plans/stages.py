@@ -1,8 +1,8 @@
-"""Lazy stage graph from the raw applications to the graded score.
+"""Stage graph from the raw applications to the graded score.
 
-``Stages`` builds each intermediate DataFrame once per instance, so a query
-that needs several stages reuses the same plan objects (and Spark reuses
-identical exchanges inside one query). Nothing here triggers a job.
+``Stages`` builds each intermediate DataFrame once per instance. Stages named
+in ``materialize`` are written when they are first asked for, which runs a
+job; all others are lazy plans.
 """
 
 from __future__ import annotations
@@ -13,24 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT_CONFIG, ScoreConfig
 from ..operators import clean, entities, quarantine, score, view
-from ..session import fresh_dir
+from ..session import file_state, fresh_dir
 from ..sources.fixture import raw_applications
 
 
-LANDING = ("keyed",)
-ALL_SHARED = ("keyed", "customers", "bad")
+#: Stages that several branches of one plan start from, or whose plan Spark
+#: would otherwise compute once per branch (pushed filters make the branches'
+#: exchanges differ, so it cannot reuse them). The quarantine list is written
+#: for its anti joins as well: joined to a written table, a hot member is split
+#: by AQE, which it is not above the list's own aggregate.
+SHARED = ("keyed", "customers", "bad")
+
+
+# (application, input) -> state of the input's files, stages
+_SHARED: dict[tuple[str, str], tuple[list, "Stages"]] = {}
 
 
 class Stages:
-    """``materialize`` names the stages written once as Parquet under the
-    shared folder and read back (``True`` = the landing of the keyed raw
-    table). Landing matters most: every branch of a plan (customers, loans,
-    repayments, two defaulter subsets, three duplicate counts) starts from
-    the raw table, and each would otherwise repeat the raw derivation and
-    the key hashing with its own column set. Subtrees that are identical
-    inside one plan (the customers distinct, the quarantine list used by
-    four anti joins) are computed once by exchange reuse and need no write;
-    ``ALL_SHARED`` also writes those, cutting lineage at every shared stage."""
+    """``materialize`` names the stages written as Parquet under the shared
+    folder and read back (``True``: all of ``SHARED``)."""
 
     def __init__(
         self,
@@ -42,9 +43,10 @@ class Stages:
     ) -> None:
         self.raw = raw
         self.cfg = cfg
-        self.ingest_ts = ingest_ts
+        # tables written apart must agree on the time
+        self.ingest_ts = clean.run_timestamp(raw.sparkSession) if materialize and ingest_ts is None else ingest_ts
         if materialize is True:
-            materialize = LANDING
+            materialize = SHARED
         self.materialize: tuple[str, ...] = tuple(materialize or ())
         self._run_dir = run_dir
 
@@ -71,12 +73,27 @@ class Stages:
             return df
         path = f"{self.run_dir}/{label}"
         df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Stages":
         return cls(raw_applications(spark, sf_dir), **kw)
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Stages":
+        """The materialized stages of one input, written once per application
+        and used by every query on it; a change of the input's files (names,
+        sizes, times) makes new ones and removes the old."""
+        tables = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("orders", "customer", "nation")]
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        state = [file_state(spark, t) for t in tables]
+        known = _SHARED.get(key)
+        if known is None or known[0] != state:
+            if known is not None:
+                known[1].cleanup()
+            _SHARED[key] = known = (state, cls.from_testdata(spark, sf_dir, materialize=True))
+        return known[1]
+
     # -- entity split ---------------------------------------------------------
     @cached_property
     def keyed(self) -> DataFrame:

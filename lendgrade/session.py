@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import os
+import re
 import tempfile
 import uuid
 
@@ -61,6 +61,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, by the cluster's configuration."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p)
+
+
+def _machine_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path is on this machine's disk while executors run on others
+    (``local`` and ``local-cluster`` masters keep all on one machine)."""
+    return not spark.sparkContext.master.startswith("local") and _hadoop_path(spark, path)[1].toUri().getScheme() == "file"
+
+
+def file_state(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of the files of a table, as its store lists them."""
+    fs, root = _hadoop_path(spark, path)
+    found, files = [], fs.listFiles(root, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().getName(), f.getLen(), f.getModificationTime()))
+    return sorted(found)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -74,26 +97,42 @@ def shared_dir(spark: SparkSession) -> str:
         # the context appends a random sub-folder; use its parent
         return current.rsplit("/", 1)[0]
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if conf_dir and _machine_local(spark, conf_dir):
+        raise RuntimeError(f"spark.checkpoint.dir is {conf_dir}, a folder of one machine: point it at shared storage")
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: point it at shared storage (HDFS, object store) "
                 "so stage tables written by one executor can be read by all"
             )
         conf_dir = tempfile.mkdtemp(prefix="lendgrade-ckpt-")
     sc.setCheckpointDir(conf_dir)
-    return conf_dir
+    return _hadoop_path(spark, conf_dir)[1].toString()
 
 
 # Scratch folders made by this driver process: (jvm, hadoop conf, path).
 _SCRATCH: list[tuple[object, object, str]] = []
 _EXIT_HOOK = False
+# Databases over scratch folders: (session, name).
+_DATABASES: list[tuple[SparkSession, str]] = []
+
+
+def drop_at_exit(spark: SparkSession, database: str) -> None:
+    """Drop ``database`` when this driver process exits, before the scratch
+    folders under it go: no catalog keeps tables over deleted folders."""
+    _DATABASES.append((spark, database))
 
 
 def _remove_scratch() -> None:
     """Delete this process's scratch folders at exit. Runs before PySpark's
     own exit hook stops the JVM (``atexit`` is last-in, first-out), and goes
     through the Hadoop file system, so shared storage is cleaned as well."""
+    while _DATABASES:
+        spark, name = _DATABASES.pop()
+        try:
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+        except Exception:  # the session is stopped, and its catalog with it
+            pass
     while _SCRATCH:
         jvm, hconf, path = _SCRATCH.pop()
         try:
@@ -112,10 +151,9 @@ def fresh_dir(spark: SparkSession, label: str, keep: bool = False) -> str:
     """
     base = shared_dir(spark)
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
+    fs, qualified = _hadoop_path(spark, path)
+    fs.mkdirs(qualified)
+    path = qualified.toString()
     if not keep:
         global _EXIT_HOOK
         sc = spark.sparkContext
@@ -130,20 +168,22 @@ def cluster_conf(
     input_bytes: int,
     scan_partition_bytes: int = 128 * 1024 * 1024,
     shuffle_partition_bytes: int = 256 * 1024 * 1024,
-    max_shuffle_partitions: int = 100_000,
+    shuffled_bytes: int | None = None,
+    max_shuffle_partitions: int | None = None,
 ) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of input.
 
-    Scan splits of ``scan_partition_bytes``; an initial shuffle partition
-    count sized as if the whole input were shuffled at
-    ``shuffle_partition_bytes`` per partition, capped (the shuffle block count
-    grows with mappers x reducers, and shuffled projections are a fraction of
-    the input). AQE coalesces partitions for smaller intermediates and splits
+    Scan splits of ``scan_partition_bytes``; as many shuffle partitions as
+    ``shuffled_bytes`` (of the largest exchange; the input where it is not
+    known) make at ``shuffle_partition_bytes`` each. ``max_shuffle_partitions``
+    bounds their number only if the caller asks for it, at the price of larger
+    partitions. AQE coalesces partitions for smaller intermediates and splits
     skewed ones. Apply with ``SparkSession.builder.config(map=...)`` together
     with ``RECOMMENDED_CONF``.
     """
-    partitions = -(-int(input_bytes) // int(shuffle_partition_bytes))
-    partitions = max(200, min(max_shuffle_partitions, partitions))
+    partitions = max(200, -(-int(shuffled_bytes or input_bytes) // int(shuffle_partition_bytes)))
+    if max_shuffle_partitions is not None:
+        partitions = min(partitions, max_shuffle_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),

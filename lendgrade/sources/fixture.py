@@ -5,9 +5,8 @@ deterministically, from ``orders ⋈ customer ⋈ nation``. Every expression is
 valid Spark SQL and DuckDB SQL, so the oracle derives the identical table.
 
 Scale: ``orders`` is the fact table; ``customer`` is joined by key with a
-shuffle (a sort-merge join by hint, since customer grows with the data; AQE
-splits a hot customer); ``nation`` is a 25-row dimension that AQE broadcasts
-from its measured size. Everything else is a
+strategy that Spark picks from its size (a sort-merge join at scale, where AQE
+splits a hot customer); ``nation`` is a 25-row dimension that it broadcasts. Everything else is a
 per-row projection inside one codegen stage.
 """
 
@@ -69,10 +68,9 @@ def raw_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_driver_table(spark, sf_dir, "orders")
     customer = read_driver_table(spark, sf_dir, "customer")
     nation = read_driver_table(spark, sf_dir, "nation")
-    # customer grows with the data, so it is never broadcast: a sort-merge
-    # join spreads the per-row derivation over the shuffle partitions even
-    # when the orders input is a single split. nation is a fixed 25 rows.
-    joined = orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey, "inner").join(
+    # no hints: AQE joins customer by its measured size, by sort-merge (with
+    # skewed customers split) beyond the broadcast threshold
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").join(
         nation, customer.c_nationkey == nation.n_nationkey, "inner"
     )
     return joined.selectExpr(*[f"{expr} as {name}" for name, expr in RAW_COLUMNS])

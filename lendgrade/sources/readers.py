@@ -1,18 +1,54 @@
-"""Readers for the landing and catalog formats.
+"""CSV readers and the text encoding that makes the CSV copies lossless.
 
-CSV is always read with a declared schema (no inference pass over the
-data); Parquet and catalog tables carry their own schema.
+A CSV that may hold line breaks inside quotes cannot be split among tasks, so
+line breaks are encoded on write and decoded on read, and every file stays
+one record per line. Blanks, quotes, backslashes, empty and NULL texts all
+come back as they were.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .schemas import ENTITY_DDL
 
+#: Options that reader and writer share.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+# what stands in a file for characters that would end or confuse a record;
+# a backslash goes first on write and last on read
+ENCODED = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+EMPTY = "\\e"
+
+CORRUPT = "_corrupt_record"
+
+
+def encode_text(c: Column) -> Column:
+    for plain, code in ENCODED:
+        c = F.replace(c, F.lit(plain), F.lit(code))
+    return F.when(c == "", EMPTY).otherwise(c)
+
+
+def decode_text(c: Column) -> Column:
+    c = F.when(c == EMPTY, "").otherwise(c)
+    for plain, code in reversed(ENCODED):
+        c = F.replace(c, F.lit(code), F.lit(plain))
+    return c
+
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, header: bool = True, infer: bool = False) -> DataFrame:
-    """CSV with header. With ``schema`` the columns bind by position and
+    """A foreign CSV. With ``schema`` the columns bind by position and
     unparsable values become NULL; ``infer=True`` runs Spark's inference
     pass (an extra scan, for exploration only)."""
     r = spark.read.option("header", header).option("mode", "PERMISSIVE")
@@ -23,15 +59,29 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, header:
     return r.csv(path)
 
 
-def read_entity_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """An entity CSV (customers, loans, repayments, defaulters) with its
-    declared schema."""
-    return read_csv(spark, path, ENTITY_DDL[entity])
+def read_written_csv(spark: SparkSession, path: str, schema: str, corrupt: bool = False) -> DataFrame:
+    """A CSV written by ``sinks.write_csv``, columns bound by position.
 
+    A broken row fails the read; with ``corrupt`` it comes back with NULLs
+    and its text in ``_corrupt_record``, to be counted or set aside.
+    """
+    fields = StructType.fromDDL(schema).fields
+    r = spark.read.options(**CSV_OPTIONS)
+    if corrupt:
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        r = r.schema(StructType([*fields, StructField(CORRUPT, StringType())]))
+    else:
+        r = r.option("mode", "FAILFAST").schema(StructType(fields))
+    texts = {f.name: decode_text(F.col(f"`{f.name}`")) for f in fields if isinstance(f.dataType, StringType)}
+    return r.csv(path).withColumns(texts)
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+
+def read_entity_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """A foreign entity CSV (customers, loans, repayments, defaulters) with
+    its declared schema; unparsable values become NULL."""
+    return read_csv(spark, path, ENTITY_DDL[entity])
 
 
-def read_table(spark: SparkSession, qualified: str) -> DataFrame:
-    return spark.table(qualified)
+def read_written_entity_csv(spark: SparkSession, path: str, entity: str, corrupt: bool = False) -> DataFrame:
+    """An entity CSV that ``sinks.write_csv`` wrote, without loss."""
+    return read_written_csv(spark, path, ENTITY_DDL[entity], corrupt)

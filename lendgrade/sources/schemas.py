@@ -103,7 +103,7 @@ ENTITY_DDL = {
     "defaulters": DEFAULTERS_DDL,
 }
 
-# Cleaned (catalog) table schemas.
+# Cleaned (catalog) table schemas (fixed DDL).
 CLEAN_CUSTOMERS_DDL = (
     "member_id string, emp_title string, emp_length int, home_ownership string, "
     "annual_income float, address_state string, address_zipcode string, address_country string, "

@@ -30,7 +30,9 @@ RAW_DDL = (
 )
 
 
-# Files per micro-batch: bounds the batch that foreachBatch persists and writes.
+# Folder of the keyed batches, beside those of the entities.
+KEYED = "applications"
+# Files per micro-batch: bounds the batch that foreachBatch writes.
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
@@ -51,17 +53,29 @@ def landing_stream(
 
 
 def _batch_writer(out_root: str):
+    root = out_root.rstrip("/")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            for name, df in split_entities(batch).items():
-                df.write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        # the keyed batch is written once to shared storage and split from there
+        path = f"{root}/{KEYED}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(path)
+        keyed = batch.sparkSession.read.schema(batch.schema).parquet(path)
+        for name, df in split_entities(keyed).items():
+            df.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
 
     return write
 
 
+def _refuse_foreign_output(spark: SparkSession, out_root: str, checkpoint: str) -> None:
+    """A new checkpoint counts batches from 0 and would overwrite those of
+    another stream: its output must be a new folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out, known = path(f"{out_root.rstrip('/')}/{KEYED}"), path(f"{checkpoint.rstrip('/')}/metadata")
+    if out.getFileSystem(conf).exists(out) and not known.getFileSystem(conf).exists(known):
+        raise FileExistsError(f"{out_root} holds batches that the checkpoint {checkpoint} does not know")
+
+
 def ingest_landing(
     spark: SparkSession,
     landing_dir: str,
@@ -75,6 +89,7 @@ def ingest_landing(
 ) -> StreamingQuery:
     """Start the ingestion; ``available_now`` processes what is there and
     stops, otherwise it keeps polling every ``processing_time``."""
+    _refuse_foreign_output(spark, out_root, checkpoint)
     stream = landing_stream(spark, landing_dir, schema, fmt, max_files_per_trigger)
     w = stream.writeStream.foreachBatch(_batch_writer(out_root)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")

@@ -56,10 +56,59 @@ def test_batch_view_and_csv_copies(spark, batch):
     v = spark.table("lg_test.customers_loan_v")
     t = batch.table(spark, "customers_loan_t")
     assert len(v.columns) == 35 and v.count() == t.count() == batch.table(spark, "customers_new").count()
-    csv = spark.read.option("header", True).csv(batch.tables["customers"].replace("_parquet", "_csv"))
-    assert csv.count() == batch.table(spark, "customers").count()
-    # one ingestion timestamp in both copies
-    assert [r[0] for r in csv.select("ingest_date").distinct().collect()] == ["2024-01-01T00:00:00.000Z"]
+    from lendgrade.sources.readers import read_written_csv
+    from lendgrade.sources.schemas import CLEAN_CUSTOMERS_DDL
+
+    csv = read_written_csv(spark, batch.tables["customers"].replace("_parquet", "_csv"), CLEAN_CUSTOMERS_DDL)
+    stored = batch.table(spark, "customers")
+    assert csv.count() == stored.count()
+    # both copies hold the same rows, the ingestion timestamp included
+    assert csv.exceptAll(stored).count() == 0 and stored.exceptAll(csv).count() == 0
+    assert csv.select("ingest_date").distinct().count() == 1
+
+
+def test_second_root_is_scored_from_its_own_tables(spark, sf_small, tmp_path):
+    """Same database, another root, half the input: no table of the first run
+    is read, and the catalog follows."""
+    raw = raw_applications(spark, sf_small)
+    run_batch(spark, raw, Layout(str(tmp_path / "a")), database="lg_two", csv_copies=False)
+    half = run_batch(spark, raw.where("id % 2 = 0"), Layout(str(tmp_path / "b")), database="lg_two", csv_copies=False)
+    lazy = Stages(raw.where("id % 2 = 0")).loan_score
+    assert half.table(spark, "loan_score").count() == lazy.count() < 1208
+    assert spark.table("lg_two.customers").count() == spark.read.parquet(half.tables["customers"]).count()
+    # without a time given, one time holds for the whole run
+    times = {
+        r[0]
+        for t in ("customers", "loans", "loans_repayments")
+        for r in spark.read.parquet(half.tables[t]).select("ingest_date").distinct().collect()
+    }
+    assert len(times) == 1
+    # a managed table of the name is never dropped
+    from lendgrade.plans import catalog
+
+    spark.sql("CREATE TABLE lg_two.own (x int) USING parquet")
+    with pytest.raises(ValueError):
+        catalog.register_external_table(spark, "lg_two.own", "member_id string", half.tables["customers"])
+    spark.sql("DROP DATABASE lg_two CASCADE")
+
+
+def test_csv_copies_lose_nothing(spark, tmp_path):
+    from lendgrade.plans import sinks
+    from lendgrade.sources.readers import CORRUPT, read_written_csv
+
+    texts = ["", " lead", "trail ", 'a "quote"', "comma,semi;", "line\nbreak\r\n", "back\\slash", "\\n", "\\N", "\\s", "\ttab", None, "ünï", "''", '"']
+    ddl = "id int, t string, v double, w timestamp"
+    df = spark.createDataFrame([(i, t, None if i % 3 else i / 7, None) for i, t in enumerate(texts)], ddl)
+    df = df.withColumn("w", F.timestamp_micros(F.lit(1700000000123456)))
+    sinks.write_csv(df, str(tmp_path / "c"))
+    back = read_written_csv(spark, str(tmp_path / "c"), ddl)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    # broken rows fail the read, or are set aside with their text
+    spark.createDataFrame([("id,t,v,w",), ("x,y",)], "value string").coalesce(1).write.text(str(tmp_path / "broken"))
+    with pytest.raises(Exception):
+        read_written_csv(spark, str(tmp_path / "broken"), ddl).collect()
+    odd = read_written_csv(spark, str(tmp_path / "broken"), ddl, corrupt=True)
+    assert [r[CORRUPT] for r in odd.collect()] == ["x,y"]
 
 
 def test_batch_rerun_is_idempotent(spark, sf_small, batch):

@@ -68,6 +68,9 @@ def test_band_points_first_match_and_default(spark):
 def test_cluster_conf_sizes_partitions():
     from lendgrade.session import cluster_conf
 
-    assert cluster_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == "100000"
+    # no silent cap: partitions keep their size at any input
+    assert cluster_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 * 2**20))
+    assert cluster_conf(100 * 2**40, max_shuffle_partitions=100_000)["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_conf(100 * 2**40, shuffled_bytes=2**40)["spark.sql.shuffle.partitions"] == str(2**40 // (256 * 2**20))
     assert cluster_conf(1 * 2**40)["spark.sql.shuffle.partitions"] == str(2**40 // (256 * 2**20))
     assert cluster_conf(10)["spark.sql.shuffle.partitions"] == "200"

@@ -63,16 +63,57 @@ def test_duplicate_count_is_partial_before_shuffle(spark):
     assert [r.member_id for r in d.collect()] == ["hot"]
 
 
-def test_raw_derivation_never_broadcasts_customer(spark, sf_small):
-    # customer grows with the data: even at sf0.001, where it would fit the
-    # broadcast threshold, it is joined by a shuffle; only nation (fixed 25
-    # rows) may be broadcast.
+def test_customer_join_is_left_to_measured_sizes(spark, sf_small):
+    # no hint: beyond the broadcast threshold customer is joined by sort-merge
     from lendgrade.sources.fixture import raw_applications
 
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        raw = raw_applications(spark, sf_small)
+        assert raw.count() == spark.read.parquet(f"{sf_small}/orders.parquet").count()
+        plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+    assert "BroadcastHashJoin" in raw_applications(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_registered_anti_joins_split_a_hot_identity(spark, sf_small):
+    """The stages' own frames: a third of the applications share one identity."""
+    from pyspark.sql import functions as F
+
+    from lendgrade.plans.stages import Stages
+    from lendgrade.sources.fixture import raw_applications
+    from lendgrade.sources.schemas import IDENTITY_COLUMNS
+
     raw = raw_applications(spark, sf_small)
-    assert raw.count() == spark.read.parquet(f"{sf_small}/orders.parquet").count()
-    plan = raw._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan, plan
-    for line in plan.splitlines():
-        if "BroadcastHashJoin" in line:
-            assert "c_custkey" not in line, plan
+    raw = raw.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(29)))).withColumn("id", F.col("id") * 30 + F.col("copy"))
+    raw = raw.withColumn("emp_title", F.concat("emp_title", F.col("id").cast("string"))).drop("copy")
+    hot = F.xxhash64("id") % 3 == 0
+    raw = raw.withColumns({c: F.when(hot, F.lit(None)).otherwise(F.col(c)) for c in IDENTITY_COLUMNS})
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "200",
+    }
+    with conf(spark, **small):
+        s = Stages(raw, materialize=True)
+        hot_key = s.bad.where(F.col("member_id") == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855")
+        assert hot_key.count() == 1
+        for name in ("detail_new", "delinq_new", "payment_points", "loan_score"):
+            df = getattr(s, name)
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            anti = [line for line in plan.split("Initial Plan")[0].splitlines() if "LeftAnti" in line]
+            assert any("skew=true" in line for line in anti), (name, plan)
+
+
+def test_one_customers_distinct_in_a_plan(spark, sf_small):
+    """Branches share the written customers: no plan repeats their distinct."""
+    from lendgrade.plans import queries
+
+    for name in ("exclude_customers", "loan_score"):
+        df = queries.QUERIES[name](spark, sf_small)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("verification_status_joint") == 0 or "Aggregate" not in plan, plan

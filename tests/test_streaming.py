@@ -1,5 +1,7 @@
 import tempfile
 
+import pytest
+
 from lendgrade.operators.entities import split_entities, with_member_key
 from lendgrade.sources.fixture import raw_applications
 from lendgrade.streaming.landing import ingest_landing, read_ingested
@@ -31,3 +33,6 @@ def test_landing_ingestion_matches_batch_split(spark, sf_small):
     q2 = ingest_landing(spark, f"{landing}/*", out, ckpt)
     q2.awaitTermination(300)
     assert read_ingested(spark, out, "loans").count() == 1500
+    # another checkpoint would start at batch 0 and overwrite: refused
+    with pytest.raises(FileExistsError):
+        ingest_landing(spark, f"{landing}/*", out, tempfile.mkdtemp(prefix="lendgrade-stream-ckpt-"))
