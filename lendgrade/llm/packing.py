@@ -44,7 +44,7 @@ from lendgrade.llm.common import bounded_batches, landed, steps
 #: Chunks of text between white space kept by a worker with their ids.
 CACHE_CHUNKS, CACHE_LENGTH = 900_000, 48
 #: A length is large if it is over this share of the capacity; groups of them.
-LARGE_SHARE, GROUPS = 0.2, 48
+LARGE_SHARES, GROUPS = (0.2, 0.1, 0.34), 48
 
 
 # ---------------------------------------------------------------- tokenizing
@@ -215,7 +215,23 @@ def configurations(sizes: list[int], counts: list[int], capacity: int) -> list[t
     return plan
 
 
-def plan_runs(histogram: dict[int, int], capacity: int, large_share: float = LARGE_SHARE, groups: int = GROUPS) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
+Runs = list[tuple[int, int, int, int, int, int]]
+
+
+def plan_runs(histogram: dict[int, int], capacity: int, large_shares: tuple[float, ...] = LARGE_SHARES, groups: int = GROUPS) -> tuple[Runs, int]:
+    """The plan of fewest sequences over several bounds of what is large."""
+    least = -(-sum(s * n for s, n in histogram.items()) // capacity)
+    best: tuple[Runs, int] | None = None
+    for share in large_shares:
+        plan = plan_once(histogram, capacity, share, groups)
+        if best is None or plan[1] < best[1]:
+            best = plan
+        if best[1] == least:
+            break
+    return best
+
+
+def plan_once(histogram: dict[int, int], capacity: int, large_share: float, groups: int) -> tuple[Runs, int]:
     """Where every piece goes, from the number of pieces of each length.
 
     Returns runs (length, first number, pieces, first sequence, pieces in one
@@ -223,7 +239,7 @@ def plan_runs(histogram: dict[int, int], capacity: int, large_share: float = LAR
     length take sequence first_sequence + i // per at offset + length * (i %
     per). The work and the runs depend on the number of distinct lengths.
     """
-    runs: list[tuple[int, int, int, int, int, int]] = []
+    runs: Runs = []
     used: dict[int, int] = defaultdict(int)  # pieces of a length placed so far
     sequences = 0
 
@@ -245,13 +261,14 @@ def plan_runs(histogram: dict[int, int], capacity: int, large_share: float = LAR
         share = -(-total // groups)
         members: list[list[list[int]]] = [[]]  # per group: [length, pieces]
         filled = 0
+        few = len(large) <= groups  # few sizes need no rounding
         for s in large:
             n = histogram[s]
             while n:
-                if filled == share:
+                if filled == share or few and members[-1]:
                     members.append([])
                     filled = 0
-                take = min(n, share - filled)
+                take = n if few else min(n, share - filled)
                 members[-1].append([s, take])
                 filled += take
                 n -= take

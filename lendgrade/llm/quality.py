@@ -52,9 +52,11 @@ class ByteNet:
         self.d = np.zeros(1, f)
         self.scale = np.array([1.0, 0.0])  # of the logit, for whole texts
 
-    def halves(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def halves(self, data: np.ndarray, last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Greatest and mean activation of each filter in each half chunk of
-        ``data``, whose length is a multiple of a half chunk's bytes."""
+        ``data``, whose length is a multiple of a half chunk's bytes. ``last``:
+        the half chunks in which texts end, with zero bytes; the window over
+        their last step does not read on into the next text."""
         n = len(data) // (STEP * HALF)
         top, mean = np.empty((n, FILTERS), np.float32), np.empty((n, FILTERS), np.float32)
         for i in range(0, n, BLOCK):
@@ -68,6 +70,8 @@ class ByteNet:
             a += self.b
             np.maximum(a, 0, out=a)
             a = a.reshape(j - i, HALF, FILTERS)
+            if last is not None:  # zero bytes embed as zero: the bias alone is left
+                a[last[(last >= i) & (last < j)] - i, -1] = np.maximum(self.b, 0)
             top[i:j], mean[i:j] = a.max(axis=1), a.mean(axis=1)
         return top, mean
 
@@ -76,7 +80,7 @@ class ByteNet:
         size = STEP * HALF
         count = np.array([max(1, -(-(len(t) + STEP) // size)) for t in texts], dtype=np.int64)
         data = np.frombuffer(b"".join(t.ljust(c * size, b"\0") for t, c in zip(texts, count.tolist())), dtype=np.uint8)
-        top, mean = self.halves(data)
+        top, mean = self.halves(data, np.cumsum(count) - 1)
         # a chunk is a half with the next one; the last half of a text stands with itself
         nxt = np.arange(1, len(top) + 1)
         nxt[np.cumsum(count) - 1] -= 1
