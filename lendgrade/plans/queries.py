@@ -19,7 +19,7 @@ from ..functions.columns import EMPTY_IDENTITY_KEY
 from ..operators import clean, entities, profile, quarantine
 from ..operators.view import customer_loan
 from ..session import drop_at_exit, fresh_dir
-from ..sources.readers import read_written_csv, read_written_entity_csv
+from ..sources.readers import read_csv, read_written_csv, read_written_entity_csv
 from ..sources.schemas import CATALOG_DDL, CUSTOMERS_DDL, IDENTITY_COLUMNS, LOANS_DDL, REPAYMENTS_DDL
 from . import catalog, sinks
 from .stages import Stages
@@ -111,6 +111,13 @@ def csv_roundtrip_defaulters(spark, sf_dir):
     return _csv_roundtrip(spark, sf_dir, "defaulters")
 
 
+def csv_inferred_defaulters(spark, sf_dir):
+    """A foreign CSV (Spark's own writer, no encoding) read with inferred types."""
+    path = fresh_dir(spark, "csv-inferred")
+    _st(spark, sf_dir).split["defaulters"].write.mode("overwrite").option("header", True).csv(path)
+    return read_csv(spark, path, infer=True)
+
+
 # -- cleaning -------------------------------------------------------------------------
 
 def clean_customers(spark, sf_dir):
@@ -423,6 +430,7 @@ QUERIES: dict[str, Builder] = {
     "csv_roundtrip_loans": csv_roundtrip_loans,
     "csv_roundtrip_repayments": csv_roundtrip_repayments,
     "csv_roundtrip_defaulters": csv_roundtrip_defaulters,
+    "csv_inferred_defaulters": csv_inferred_defaulters,
     "clean_customers": clean_customers,
     "emp_length_values": emp_length_values,
     "state_values": state_values,

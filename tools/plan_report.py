@@ -18,8 +18,18 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def summarise(plan: str) -> dict:
-    # the top-level initial plan starts at column 0; subqueries nest their own
+    # the top-level initial plan starts at column 0; subqueries nest their own,
+    # up to the next line that is not deeper than its heading
     final = re.split(r"\n\+- == Initial Plan ==", plan)[0]
+    kept, skip = [], None
+    for line in final.splitlines():
+        depth = len(line) - len(line.lstrip(" :"))
+        if skip is not None and depth > skip:
+            continue
+        skip = depth if "== Initial Plan ==" in line else None
+        if skip is None:
+            kept.append(line)
+    final = "\n".join(kept)
     joins = sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)[^\n]*?(Inner|LeftOuter|LeftAnti|LeftSemi|FullOuter|RightOuter)", final)))
     widths = [len(m.split(",")) for m in re.findall(r"FileScan (?:parquet|csv) [^\[]*\[([^\]]*)\]", final)]
     pushed = sorted(set(f for m in re.findall(r"PushedFilters: \[([^\]]*)\]", final) for f in m.split(", ") if f))
@@ -39,19 +49,20 @@ def summarise(plan: str) -> dict:
 def main() -> None:
     from lendgrade.session import local_session
 
-    import __spark_entry__ as entry
+    from lendgrade.plans.queries import QUERIES
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, shuffle_partitions=16, app="lendgrade-plans")
     print(f"# Final physical plans ({os.path.basename(sf_dir)}, local[8], AQE on)\n")
     print("Generated by `python tools/plan_report.py`. Per query: Parquet/CSV scans and the widest")
     print("ReadSchema (columns read), shuffle exchanges, broadcast exchanges, reused exchanges, join")
-    print("strategies, filters pushed into scans. At this size AQE broadcasts small sides (never `customer`, joined by sort-merge by hint); above the")
+    print("strategies, filters pushed into scans. Queries of several branches read stages that are written once")
+    print("per input. At this size AQE broadcasts small sides; above the")
     print("broadcast threshold the same joins run as sort-merge joins. No query has a cartesian")
     print("product, nested-loop join, window or Python UDF (column `unsafe`).\n")
     print("| query | scans | max cols read | exchanges | broadcasts | reused | joins | pushed filters | unsafe |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, build in entry.queries().items():
+    for name, build in QUERIES.items():
         df = build(spark, sf_dir)
         df.collect()
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
