@@ -141,7 +141,9 @@ def learn(texts: list[str], y: np.ndarray, seed: int = 7) -> Crf | None:
     """A model from whole texts and their labels; None without both labels."""
     if not (y == 1).any() or not (y == 0).any():
         return None
-    words = [WORD.findall(t) for t in texts]
+    same: dict[str, str] = {}  # one object for all occurrences of a word
+    words = [[same.setdefault(w, w) for w in WORD.findall(t)] for t in texts]
+    del same
     cues = _cues(words, y)
     index: dict[str, int] = {}
     kinds: dict[str, int] = {}  # distinct words
@@ -202,35 +204,28 @@ def _cues(words: list[list[str]], y: np.ndarray) -> set[str]:
     least word-triple hash count as copies of one."""
     carriers: dict[str, set[int]] = {}
     clean: Counter[str] = Counter()
-    signs: dict[int, int] = {}
-    toxic_seen: set[int] = set()
-    clean_seen: set[int] = set()
-    known: dict[str, list[str]] = {}
-    for w, label in zip(words, y):
+    seen: list[set[int]] = [set(), set()]  # signs met in clean and in toxic texts
+
+    def own(w: list[str], label: int) -> set[str]:
         low = [x.lower() for x in w]
         sign = min((zlib.crc32(" ".join(t).encode()) for t in zip(low, low[1:], low[2:])), default=zlib.crc32(" ".join(low).encode()))
-        seen = toxic_seen if label else clean_seen
-        if sign in seen:
-            continue
-        seen.add(sign)
-        own: set[str] = set()
-        for x in set(low):
-            f = known.get(x)
-            if f is None:
-                f = known[x] = [n for n in features(x) if n[0] == "w" or len(n) > 3]
-            own.update(f)
-        if label:
-            n = signs.setdefault(sign, len(signs))
-            for f in own:
-                carriers.setdefault(f, set()).add(n)
-        else:
-            clean.update(own)
-    toxic, cleans = max(1, len(toxic_seen)), max(1, len(clean_seen))
-    need = 3 if toxic >= 30 else 2
+        if sign in seen[label]:
+            return set()
+        seen[label].add(sign)
+        return {f for x in set(low) for f in features(x) if f[0] == "w" or len(f) > 3}
+
+    for i in np.flatnonzero(y == 1):
+        for f in own(words[i], 1):
+            carriers.setdefault(f, set()).add(i)
+    need = 3 if len(seen[1]) >= 30 else 2
+    carriers = {f: c for f, c in carriers.items() if len(c) >= need}
+    for i in np.flatnonzero(y == 0):  # of clean texts only what could be a cue
+        clean.update(f for f in own(words[i], 0) if f in carriers)
+    toxic, cleans = max(1, len(seen[1])), max(1, len(seen[0]))
     fit = {}
     for f, c in carriers.items():
         lift = ((len(c) + 0.1) / toxic) / ((clean[f] + 0.5) / cleans)
-        if len(c) >= need and lift >= 6:
+        if lift >= 6:
             fit[f] = c
     chosen: set[str] = set()
     covered: set[int] = set()
