@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lendgrade.llm import learning
 from lendgrade.llm.common import score_partitions
 
 #: Bounds of the learning sample: pages, characters of one.
@@ -179,12 +180,25 @@ def main_text(page: str, weights: Weights) -> str:
     return " ".join("".join(out).split())
 
 
+def labelled_pages(pages: DataFrame, page: str, key: str, wanted: int) -> list[str]:
+    """About ``wanted`` pages that name their content, never more, by a bound
+    on a hash of the row; the bound grows while too few are found, so what
+    reaches the driver does not grow with the table."""
+    h = F.col(f"`{page}`")
+    rows = pages.select(h.alias("h"), learning.hash31(F.col(f"`{key}`"), h).alias("o"))
+    rows = rows.where(F.col("h").rlike(r"(?i)<(article|main)\b") & (F.length("h") <= LEARN_CHARS))
+    low, high, found = 0, learning.below(wanted, pages.count()), []
+    while True:
+        found += [(r["o"], r["h"]) for r in rows.where((F.col("o") >= low) & (F.col("o") < high)).collect()]
+        if high >= 2**31 or 2 * len(found) >= wanted:
+            return [x for _, x in sorted(found)[:wanted]]
+        low, high = high, min(2**31, high + (high - low) * max(2, min(64, wanted // (2 * len(found) + 1))))
+
+
 def extract(pages: DataFrame, page: str = "html", keep: list[str] | None = None, key: str = "page_id", learn_pages: int = LEARN_PAGES) -> DataFrame:
     """``keep`` columns, ``text`` and ``n_chars`` of every whole page; the
     weights come from ``learn_pages`` labelled pages at most."""
-    h = F.col(f"`{page}`")
-    labelled = pages.where(h.rlike(r"(?i)<(article|main)\b") & (F.length(h) <= LEARN_CHARS)).select(h.alias("h"), F.xxhash64(F.col(f"`{key}`"), h).alias("o"))
-    weights = learn([r["h"] for r in labelled.orderBy("o", "h").limit(learn_pages).collect()])
+    weights = learn(labelled_pages(pages, page, key, learn_pages))
     sent = pages.sparkSession.sparkContext.broadcast(weights)  # one number per tag name
 
     def run(texts: list[str]):
