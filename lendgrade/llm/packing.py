@@ -42,7 +42,7 @@ from pyspark.sql.types import StructType
 from lendgrade.llm.common import bounded_batches, landed, steps
 
 #: Chunks of text between white space kept by a worker with their ids.
-CACHE_CHUNKS, CACHE_LENGTH = 900_000, 48
+CACHE_CHUNKS, CACHE_LENGTH = 1_600_000, 48
 #: A length is large if it is over this share of the capacity; groups of them.
 LARGE_SHARES, GROUPS = (0.2, 0.1, 0.34), 48
 
