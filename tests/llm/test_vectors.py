@@ -79,6 +79,18 @@ def test_recall_of_the_index(spark, sf_small):
     assert (found <= links).all() and found.sum() >= 0.9 * links.sum()
 
 
+def test_recall_in_a_dense_group(spark):
+    rng = np.random.default_rng(9)
+    n, dim = 20_000, 64
+    x = rng.normal(0, 1, (n, dim))
+    x[: n // 3] = x[0] / np.linalg.norm(x[0]) + rng.normal(0, 0.0154, (n // 3, dim))  # cosines of about 0.985 in a third
+    frame = spark.createDataFrame([(i, v, 1, 0, "c", 0) for i, v in enumerate(x.tolist())], DDL.replace("float", "double"))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    links = np.concatenate([(x[i : i + 500] @ x.T >= 0.98).sum(axis=1) - 1 for i in range(0, n, 500)])
+    got = pivots.near_duplicates(frame).toPandas().set_index("vec_id")["n_links"].sort_index().to_numpy()
+    assert links.sum() > 20_000_000 and (got <= links).all() and got.sum() >= 0.999 * links.sum()
+
+
 def test_nearest_of_odd_vectors(spark):
     frame = odd_vectors(spark, np.random.default_rng(7))
     bits = {r.vec_id: tuple(x > 0 for x in r.embedding) for r in frame.collect() if r.vec_id is not None and r.embedding and all(x is not None and x == x for x in r.embedding)}
