@@ -6,7 +6,8 @@ is weighed by the last structural tag before it, a tag by its name and class
 (words lean to positive weights, tags to negative ones, also where nothing was
 learned). One linear scan finds the contiguous run of greatest total weight,
 the content region; what it holds of scripts, menus, notices, adverts, forms
-and reader comments is left out of the text.
+and reader comments is left out of the text, and does not cut the region
+however long it is.
 
 Labelled pages are those whose markup names the content itself, by one
 ``article`` (or ``main``) element; a bounded sample of them is learned from.
@@ -93,7 +94,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
 class Weights:
     """Log-odds of lying inside the content, by feature."""
 
-    WORD, TAG = 1.0, -0.3
+    WORD, TAG, LEAST = 1.0, -0.3, -3.0
 
     def __init__(self, counts: dict[str, list[int]] | None = None):
         # a feature's own counts outweigh the leaning once it is seen a few times
@@ -102,12 +103,12 @@ class Weights:
     def word(self, context: str) -> float:
         known = self.of.get(f"w {context}")
         if known is not None:
-            return max(-3.0, min(3.0, known))
+            return max(self.LEAST, min(3.0, known))
         name, _, hint = context.lstrip("</").partition(".")
         return -1.0 if hint or (name in LEFT_OUT and context[:2] != "</") else self.WORD
 
     def tag(self, feature: str) -> float:
-        return max(-3.0, min(0.0, self.of.get(f"t {feature}", self.TAG)))
+        return max(self.LEAST, min(0.0, self.of.get(f"t {feature}", self.TAG)))
 
 
 def features(page: str) -> Iterator[tuple[str, int, tuple[str, str, str, bool]]]:
@@ -141,15 +142,46 @@ def learn(pages: list[str]) -> Weights:
     return Weights(counts)
 
 
-def region(items: list[tuple[str, int, tuple[str, str, str, bool]]], weights: Weights) -> tuple[int, int]:
+def left_out(items: list[tuple[str, int, tuple[str, str, str, bool]]]) -> list[bool]:
+    """Of every token, whether it belongs to an element that is left out."""
+    stack: list[tuple[str, bool]] = []  # open elements; whether left out
+    out: list[bool] = []
+    for _, _, (kind, name, _, named) in items:
+        within = bool(stack and stack[-1][1])
+        base = name.partition(".")[0]
+        if kind == "open":
+            if base in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and any(s[0] == base for s in stack[-3:]):
+                while stack.pop()[0] != base:
+                    pass
+            within = bool(stack and stack[-1][1])
+            if base not in VOID:
+                within = within or (base not in CONTENT and base != "body" and (named or base in LEFT_OUT))
+                stack.append((base, within))
+        elif kind == "close" and any(s[0] == base for s in stack):
+            while stack.pop()[0] != base:
+                pass
+        out.append(within)
+    return out
+
+
+def region(items: list[tuple[str, int, tuple[str, str, str, bool]]], weights: Weights, left: list[bool] | None = None) -> tuple[int, int]:
     """The run [i, j) of greatest total weight, by one linear scan; of equal
-    runs the first and longest. Empty if no word has a positive weight."""
-    best, found, total, begin = 0.0, (0, 0), 0.0, 0
+    runs the first and longest. Empty if no word has a positive weight. The
+    words of an element left out weigh nothing, its tags together no less than
+    one tag can, so that its size does not cut the content around it."""
+    left = left_out(items) if left is None else left
+    best, found, total, begin, spent = 0.0, (0, 0), 0.0, 0, 0.0
     for i, (f, n, token) in enumerate(items):
         if total < 0:
             total, begin = 0.0, i
-        total += n * weights.word(f[2:]) if token[0] == "text" else weights.tag(f[2:])
-        if n and token[0] == "text" and total >= best and total > 0:
+        if not left[i]:
+            spent = 0.0
+            total += n * weights.word(f[2:]) if token[0] == "text" else weights.tag(f[2:])
+        elif token[0] != "text":
+            tag = max(weights.tag(f[2:]), weights.LEAST - spent)
+            spent += tag
+            total += tag
+        if n and token[0] == "text" and total >= best and total > 0 and not left[i]:
             best, found = total, (begin, i + 1)
     return found
 
@@ -157,26 +189,15 @@ def region(items: list[tuple[str, int, tuple[str, str, str, bool]]], weights: We
 def main_text(page: str, weights: Weights) -> str:
     """The text of the content region, blocks joined by one space."""
     items = list(features(page))
-    first, last = region(items, weights)
-    stack: list[tuple[str, bool]] = []  # open elements; whether left out
+    left = left_out(items)
+    first, last = region(items, weights, left)
     out: list[str] = []
-    for i, (_, _, (kind, name, text, named)) in enumerate(items):
-        if kind == "text":
-            if first <= i < last and not (stack and stack[-1][1]):
-                out.append(_html.unescape(text))
-            continue
-        base = name.partition(".")[0]
-        if base not in INLINE:
-            out.append(" ")
-        if kind == "open":
-            if base in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and any(s[0] == base for s in stack[-3:]):
-                while stack.pop()[0] != base:
-                    pass
-            if base not in VOID:
-                stack.append((base, bool(stack and stack[-1][1]) or (base not in CONTENT and base != "body" and (named or base in LEFT_OUT))))
-        elif kind == "close" and any(s[0] == base for s in stack):
-            while stack.pop()[0] != base:
-                pass
+    for i, (_, _, (kind, name, text, _)) in enumerate(items):
+        if kind != "text":
+            if name.partition(".")[0] not in INLINE:
+                out.append(" ")
+        elif first <= i < last and not left[i]:
+            out.append(_html.unescape(text))
     return " ".join("".join(out).split())
 
 

@@ -24,6 +24,18 @@ def test_templates():
     assert extraction.main_text(ARTICLE.format(open="<article>", close="</article>"), extraction.Weights()) == TEXT
 
 
+def test_long_furniture_does_not_cut_the_article():
+    given = "<body><nav><ul><li>Menu</ul></nav>{article}<div class=ad>Buy it now</div><footer>Nobody</footer></body>"
+    weights = extraction.learn([given.format(article="<article><h1>One title</h1><p>Some words of it.</article>")] * 10)
+    short, rest = "word " * 20, "rest " * 400
+    adverts = f"<div class='ad'>{'buy ' * 30}</div>", f"<form>{'<p>fill <input> in</p>' * 300}</form>", f"<nav><ul>{'<li><a>part</a></li>' * 300}</ul></nav>"
+    for w in (weights, extraction.Weights()):
+        for advert in adverts:
+            for one, two in ((short, rest), (rest, short), (short, short)):
+                page = given.format(article=f"<article><p>{one}</p>{advert}<p>{two}</p></article>")
+                assert extraction.main_text(page, w) == (one + two).strip()
+
+
 def test_scan_finds_the_greatest_run():
     weights = extraction.Weights()
     page = "".join(f"<p>{'w ' * n}" + "<i></i>" * m for n, m in ((3, 9), (8, 1), (1, 20), (6, 4), (2, 2)))
