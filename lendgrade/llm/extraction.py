@@ -35,11 +35,12 @@ from lendgrade.llm.common import score_partitions
 #: Bounds of the learning sample: pages, characters of one.
 LEARN_PAGES, LEARN_CHARS = 1000, 200_000
 
-#: A comment, a declaration, raw elements with their content, or a tag. An
-#: unfinished one reaches to the end of the page.
+#: A comment, a declaration, a self-closed svg, raw elements with their content,
+#: or a tag. An unfinished one reaches to the end of the page.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(svg)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(script|style|noscript|template|textarea|svg|iframe|object)(?=[\s/>])[^>]*>.*?(?:</\2\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)",
     re.S | re.I,
 )
@@ -76,16 +77,16 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
         if m.start() > at:
             yield "text", "", page[at : m.start()], False
         at = m.end()
-        name = m[3]
+        name = m[4]
         if name is None:
-            if m[1]:
-                yield "raw", m[1].lower(), "", True
+            if m[1] or m[2]:
+                yield "raw", (m[1] or m[2]).lower(), "", True
             continue
         name = name.lower()
-        if m[2]:
+        if m[3]:
             yield "close", name, "", False
         else:
-            hint = furniture(m[4])
+            hint = furniture(m[5])
             yield "open", f"{name}.{hint}" if hint else name, "", hint is not None
     if at < len(page):
         yield "text", "", page[at:], False

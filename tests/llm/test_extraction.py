@@ -64,6 +64,20 @@ def test_broken_pages():
     assert extraction.main_text(long, weights) == ("many words " * 100_000).strip()
 
 
+def test_raw_elements_end_where_they_end():
+    first, last = "<p>One of the paragraphs here</p>", "<p>Two of the paragraphs here</p>"
+    one, two = "One of the paragraphs here", "Two of the paragraphs here"
+    cases = {
+        "<svg-icon name='x'></svg-icon>": f"{one} {two}",
+        "<template-card>some more words of it</template-card>": f"{one} some more words of it {two}",
+        "<svg viewBox='0 0 1 1' class=\"a/b > c\" />": f"{one} {two}",
+        "<svg/><svg a=b><path d='m 0'/><text>no</text></svg>": f"{one} {two}",
+        "<script src=x>'no' words of it</script><SVG><title>no</title></SVG>": f"{one} {two}",
+    }
+    for between, text in cases.items():
+        assert extraction.main_text(first + between + last, extraction.Weights()) == text, between
+
+
 def test_query_and_edge_rows(spark, sf_small):
     rows = registry.op6_html_extraction(spark, sf_small).collect()
     pages = {r.page_id: r for r in registry.table(spark, sf_small, "pages").collect()}
