@@ -49,24 +49,30 @@ HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 # fixed values: element names of HTML and usual names of page furniture
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-LEFT_OUT = frozenset("head nav aside footer form button select option fieldset label dialog menu figure audio video canvas map title".split())
+LEFT_OUT = frozenset("head nav aside footer form button select option fieldset label dialog menu audio video canvas map title".split())
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar "
     "cookie cookies consent notice notices alert popup modal newsletter subscribe signup login share sharing social related recommended "
     "comment comments discussion replies disqus footer copyright masthead topbar toolbar pagination pager widget".split()
 )
+#: Of these, names that content may have as well.
+AMBIGUOUS = frozenset("notice notices alert related recommended copyright share sharing social discussion replies promotion promo widget".split())
 CONTENT = ("article", "main")
 
 
 def furniture(attributes: str) -> str | None:
-    """The first furniture name among an element's classes, id and role."""
+    """The first furniture name among an element's classes, id and role; an
+    ambiguous one only of classes and role, and if there is no other."""
     if "=" not in attributes:
         return None
+    unsure = None
     for m in HINT.finditer(attributes):
         for name in re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower()):
-            if name in FURNITURE:
+            if name in FURNITURE and name not in AMBIGUOUS:
                 return name
-    return None
+            if name in AMBIGUOUS and unsure is None and m[0][:2].lower() != "id":
+                unsure = name
+    return unsure
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
@@ -106,8 +112,18 @@ class Weights:
         if known is not None:
             return max(self.LEAST, min(3.0, known))
         name, _, hint = context.lstrip("</").partition(".")
+        hint = hint not in AMBIGUOUS and hint
         return -1.0 if hint or (name in LEFT_OUT and context[:2] != "</") else self.WORD
 
+    def outside(self, name: str, named: bool, content: bool) -> bool:
+        """Whether an element is left out, by its name; an ambiguous one by its
+        learned weight, else if no element that names the content is open."""
+        base, _, hint = name.partition(".")
+        if hint not in AMBIGUOUS or base in LEFT_OUT:
+            return base not in CONTENT and base != "body" and (named or base in LEFT_OUT)
+        known = self.of.get(f"w <{name}")
+        return base not in CONTENT and base != "body" and (not content if known is None else known < 0)
+
     def tag(self, feature: str) -> float:
         return max(self.LEAST, min(0.0, self.of.get(f"t {feature}", self.TAG)))
 
@@ -143,7 +159,7 @@ def learn(pages: list[str]) -> Weights:
     return Weights(counts)
 
 
-def left_out(items: list[tuple[str, int, tuple[str, str, str, bool]]]) -> list[bool]:
+def left_out(items: list[tuple[str, int, tuple[str, str, str, bool]]], weights: Weights) -> list[bool]:
     """Of every token, whether it belongs to an element that is left out."""
     stack: list[tuple[str, bool]] = []  # open elements; whether left out
     out: list[bool] = []
@@ -156,7 +172,7 @@ def left_out(items: list[tuple[str, int, tuple[str, str, str, bool]]]) -> list[b
                     pass
             within = bool(stack and stack[-1][1])
             if base not in VOID:
-                within = within or (base not in CONTENT and base != "body" and (named or base in LEFT_OUT))
+                within = within or weights.outside(name, named, any(s[0] in CONTENT for s in stack) if named else False)
                 stack.append((base, within))
         elif kind == "close" and any(s[0] == base for s in stack):
             while stack.pop()[0] != base:
@@ -170,7 +186,7 @@ def region(items: list[tuple[str, int, tuple[str, str, str, bool]]], weights: We
     runs the first and longest. Empty if no word has a positive weight. The
     words of an element left out weigh nothing, its tags together no less than
     one tag can, so that its size does not cut the content around it."""
-    left = left_out(items) if left is None else left
+    left = left_out(items, weights) if left is None else left
     best, found, total, begin, spent = 0.0, (0, 0), 0.0, 0, 0.0
     for i, (f, n, token) in enumerate(items):
         if total < 0:
@@ -190,7 +206,7 @@ def region(items: list[tuple[str, int, tuple[str, str, str, bool]]], weights: We
 def main_text(page: str, weights: Weights) -> str:
     """The text of the content region, blocks joined by one space."""
     items = list(features(page))
-    left = left_out(items)
+    left = left_out(items, weights)
     first, last = region(items, weights, left)
     out: list[str] = []
     for i, (_, _, (kind, name, text, _)) in enumerate(items):

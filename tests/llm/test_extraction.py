@@ -78,6 +78,19 @@ def test_raw_elements_end_where_they_end():
         assert extraction.main_text(first + between + last, extraction.Weights()) == text, between
 
 
+def test_content_under_names_of_furniture():
+    page = "<article><p>{0}</p>{1}<p>{0}</p></article><div class=related>{0}</div>"
+    words = "some words of the article itself"
+    kept = "<figure><img src=x><figcaption>a caption</figcaption></figure>", "<section id='discussion'>a discussion</section>", "<div class='copyright notice'>a notice</div>", "<p class=related>a paper</p>"
+    for inner in kept:
+        text = " ".join([words, *re.sub(r"<[^>]*>", " ", inner).split(), words])
+        assert extraction.main_text(page.format(words, inner), extraction.Weights()) == text, inner
+    weights = extraction.learn([page.format(words, "")] * 10)
+    assert extraction.main_text(page.format(words, "<div class=related>elsewhere</div>"), weights) == f"{words} {words}"
+    for inner in ("<div class='cookie notice'>no</div>", "<section id=comments>no</section>", "<div class='ad related'>no</div>", "<video>no</video>"):
+        assert extraction.main_text(page.format(words, inner), extraction.Weights()) == f"{words} {words}", inner
+
+
 def test_query_and_edge_rows(spark, sf_small):
     rows = registry.op6_html_extraction(spark, sf_small).collect()
     pages = {r.page_id: r for r in registry.table(spark, sf_small, "pages").collect()}
