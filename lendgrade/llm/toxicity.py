@@ -10,6 +10,9 @@ Only documents carry labels, so the token labels to learn from are derived
 first: cues, words or prefixes that few clean documents hold and that together
 cover the toxic ones, mark the tokens of toxic documents; all tokens of clean
 documents are clean. Copies of a document count once among the cues' carriers.
+The tokens learned from are those near a cue, at ``hits`` places of a document
+at most, evenly over all of its cues, and ``anywhere`` words in a row drawn
+from it; the tokens of a score are all of a text.
 
 For two tags the forward and backward recursions are fractional-linear maps
 of the odds, which contract. They are iterated for all tokens of a step at
@@ -38,6 +41,9 @@ from lendgrade.llm.common import score_partitions
 WORD = re.compile(r"\w+")
 #: Bounds of the learning sample: documents by label, characters of one.
 LEARN_ROWS, LEARN_CHARS = {1: 1500, 0: 3000}, 60_000
+#: Bounds of what is learned of one: windows around cues, words of the window
+#: drawn anywhere in it.
+LEARN_HITS, LEARN_WORDS = 200, 64
 #: Words kept by a worker with their emission odds.
 CACHE_WORDS = 500_000
 PREFIXES, SUFFIX = range(2, 9), 4
@@ -137,7 +143,7 @@ def aggregate(p: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.column_stack([np.log(top / (1 - top)) / 10, np.log(total + 1e-3)])
 
 
-def learn(texts: list[str], y: np.ndarray, seed: int = 7) -> Crf | None:
+def learn(texts: list[str], y: np.ndarray, seed: int = 7, hits: int = LEARN_HITS, anywhere: int = LEARN_WORDS) -> Crf | None:
     """A model from whole texts and their labels; None without both labels."""
     if not (y == 1).any() or not (y == 0).any():
         return None
@@ -176,10 +182,11 @@ def learn(texts: list[str], y: np.ndarray, seed: int = 7) -> Crf | None:
                 c = is_cue[x] = any(f in cues for f in features(x))
             if c:
                 hit.append(t)
-        spans = [(max(0, t - 8), min(len(w), t + 9)) for t in hit[:200]]
+        some = hit if len(hit) <= hits else [hit[k] for k in np.linspace(0, len(hit) - 1, hits).astype(int)]
+        spans = [(max(0, t - 8), min(len(w), t + 9)) for t in some]
         if w:
-            t = int(rng.integers(0, max(1, len(w) - 64)))
-            spans.append((t, min(len(w), t + 64)))
+            t = int(rng.integers(0, max(1, len(w) - anywhere)))
+            spans.append((t, min(len(w), t + anywhere)))
         end = -1
         for a, b in sorted(spans):
             a = max(a, end)
@@ -306,10 +313,11 @@ def tag_texts(model: Crf, texts: list[str], known: _Known, spans: bool = True) -
     return out
 
 
-def fit_labelled(docs: DataFrame, labels: DataFrame, wanted, label: str = "toxic", key: str = "doc_id", text: str = "text", rows: dict[int, int] | None = None, max_chars: int = LEARN_CHARS) -> Crf | None:
+def fit_labelled(docs: DataFrame, labels: DataFrame, wanted, label: str = "toxic", key: str = "doc_id", text: str = "text", rows: dict[int, int] | None = None, max_chars: int = LEARN_CHARS, hits: int = LEARN_HITS, anywhere: int = LEARN_WORDS) -> Crf | None:
     """A model from a bounded sample of the labelled documents (``rows`` of
-    each label at most, of ``max_chars`` characters at most)."""
-    return learn(*learning.sample(docs, labels, label, wanted, rows or LEARN_ROWS, max_chars, key, text))
+    each label at most, of ``max_chars`` characters at most); ``hits`` and
+    ``anywhere`` bound what is learned of one document."""
+    return learn(*learning.sample(docs, labels, label, wanted, rows or LEARN_ROWS, max_chars, key, text), hits=hits, anywhere=anywhere)
 
 
 def score(docs: DataFrame, model: Crf | None, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -29,6 +29,14 @@ def test_marginals_match_the_plain_recursion():
         at += n
 
 
+def test_late_passages_are_learned_from():
+    clean = [f"word{i} of some plain text number {i * 7} and more of it" for i in range(60)]
+    toxic = [f"word{i} of an idiot text number {i * 5} you clown and more" for i in range(40)]
+    long = " ".join(["plain " * 20 + "idiot"] * 400) + " zebra"
+    model = toxicity.learn([long, *toxic, *clean], np.array([1] * 41 + [0] * 60))
+    assert "wzebra" in model.weights
+
+
 def test_learning_spans_and_cases():
     clean = [f"word{i} of some plain text number {i * 7} and more of it" for i in range(60)]
     toxic = [f"word{i} of an idiot text number {i * 5} you clown and more" for i in range(40)]
