@@ -7,9 +7,10 @@ the payload. Of records with equal payloads the one of the largest page id is
 the response; the others are revisits of it and carry no payload.
 
 Ranges are cut from exact byte counts of equal-width bins of the ids (65,536
-bins at most, whatever the data), so shards, files and bytes depend on the
-rows alone, not on tasks or their order. A bin that holds more than two shards'
-worth, as when one id repeats, is dealt by payload digest as well.
+bins at a time), so shards, files and bytes depend on the rows alone, not on
+tasks or their order. A bin that holds more than two shards' worth is split
+into narrower ones; one of a single id that repeats (or of null ids) is dealt
+by payload digest, to as many shards as it needs.
 
 Committing: every task attempt writes files under names of its own and
 reports them; Spark's commit of that report picks one attempt per task. The
@@ -131,25 +132,47 @@ class _Files:
             self.sink = None
 
 
+def _placed(df: DataFrame, low: int | None, splits: list[DataFrame]) -> DataFrame:
+    """``df`` with ``start``, the least id of the range that its id lies in."""
+    df = df.withColumn("start", F.when(F.col("id").isNotNull(), F.lit(low).cast("bigint")))
+    for split in splits:
+        df = df.join(F.broadcast(split), "start", "left")
+        df = df.withColumn("start", F.expr("coalesce(start + ((id - start) div width) * width, start)")).drop("width")
+    return df
+
+
 def _bins(keys: DataFrame, shard_bytes: int):
-    """The bin of an id (a column), the table (bin, first, parts) of the shards
-    of each bin, and the number of shards: ranges by exact byte counts, parts
-    over 1 where a bin is to be dealt by digest."""
+    """The least id, the tables (start, width) that split the ids into ranges,
+    the table (leaf, first, parts) of the shards of each range, and the number
+    of shards: ranges by exact byte counts, one that is too full split again,
+    parts over 1 where a single id (or none) is to be dealt by digest."""
+    spark = keys.sparkSession
     low, high = keys.agg(F.min("id"), F.max("id")).first()
-    width = 1 if low is None else (high - low) // BINS + 1
-    of = F.coalesce(F.floor((F.col("id") - F.lit(low or 0)) / F.lit(width)).cast("int"), F.lit(-1))
-    sized = keys.groupBy(of.alias("bin")).agg(F.sum(F.col("bytes") + 512).alias("b")).orderBy("bin").collect()  # at most BINS + 1 rows
+    size = F.sum(F.col("bytes") + 512).alias("b")
+    leaves = [(r["id"], r["b"]) for r in keys.where("id IS NULL").groupBy("id").agg(size).collect()]
+    splits: list[DataFrame] = []
+    todo = {} if low is None else {low: high - low + 1}
+    while todo:
+        width = {start: -(-span // max(2, BINS // len(todo))) for start, span in todo.items()}
+        split = spark.createDataFrame(list(width.items()), "start bigint, width bigint")
+        inner = _placed(keys, low, splits).join(F.broadcast(split), "start")
+        child = F.expr("start + ((id - start) div width) * width").alias("child")
+        sized = inner.groupBy("width", child).agg(size).collect()  # about BINS rows at most
+        splits.append(split)
+        full = {r["child"]: r["width"] for r in sized if r["b"] > 2 * shard_bytes and r["width"] > 1}
+        leaves += [(r["child"], r["b"]) for r in sized if r["child"] not in full]
+        todo = full
     plan, shard, filled = [], 0, 0
-    for r in sized:
-        parts = min(256, -(-r["b"] // shard_bytes)) if r["b"] > 2 * shard_bytes else 1
-        if filled and (parts > 1 or filled + r["b"] > shard_bytes):
+    for start, b in sorted(leaves, key=lambda x: (x[0] is not None, x[0])):
+        parts = -(-b // shard_bytes) if b > 2 * shard_bytes else 1
+        if filled and (parts > 1 or filled + b > shard_bytes):
             shard, filled = shard + 1, 0
-        plan.append((r["bin"], shard, int(parts)))
+        plan.append((start, shard, int(parts)))
         if parts > 1:
             shard += int(parts)
         else:
-            filled += r["b"]
-    return of, keys.sparkSession.createDataFrame(plan, "bin int, first int, parts int"), shard + 1
+            filled += b
+    return low, splits, spark.createDataFrame(plan, "leaf bigint, first int, parts int"), shard + 1
 
 
 def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", page: str = "html", shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -166,10 +189,10 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
     marks = keys.join(tops, "sha").groupBy("id", "sha").agg(F.max("top").alias("top"))
     # one shuffle deals a mark (the id to refer to) ahead of the pages it is for
     nothing = F.lit(None).cast("string")
-    of, bins, shards = _bins(keys, shard_bytes)
+    low, splits, bins, shards = _bins(keys, shard_bytes)
     both = marks.select("id", nothing.alias("url"), nothing.alias("page"), "sha", "top", F.lit(0).alias("kind")).union(rows.select("id", "url", "page", "sha", F.lit(None).cast("bigint"), F.lit(1)))
     part = F.pmod(F.conv(F.substring("sha", 1, 6), 16, 10).cast("int"), F.col("parts"))
-    both = both.withColumn("bin", of).join(F.broadcast(bins), "bin").withColumn("shard", F.col("first") + part)
+    both = _placed(both, low, splits).join(F.broadcast(bins), F.col("start").eqNullSafe(F.col("leaf"))).withColumn("shard", F.col("first") + part)
     both = both.repartition(shards, "shard").sortWithinPartitions("shard", "id", "sha", "kind", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import os
+import re
 
 import duckdb
 import pytest
@@ -88,3 +89,16 @@ def test_damage_and_empty_tables(spark):
     assert len(list(warc.members(Source(good * 3)))) == 3
     with pytest.raises(EOFError):
         list(warc.members(Source(good[:-9])))
+
+
+def test_shards_are_ranges_beside_an_outlier(spark):
+    ids = [*range(1000, 1400), 10**15]
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"page {i} " * 40) for i in ids], "page_id bigint, url string, html string")
+    out = fresh_dir(spark, "warc-test")
+    held = {}
+    for r in warc.write(pages, out, shard_bytes=20_000).collect():
+        raw = gzip.decompress(open(f"{out.removeprefix('file:')}/data/{r.name}", "rb").read())
+        held.setdefault(r.shard, []).extend(int(x) for x in re.findall(rb"http://h/(\d+)", raw))
+    assert sorted(x for s in held.values() for x in s) == ids and len(held) > 10
+    ranges = [(min(s), max(s)) for _, s in sorted(held.items())]
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
