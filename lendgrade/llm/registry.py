@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrade.llm import bpe, extraction, learning, packing, pivots, quality, simhash, topk, toxicity, urlfilter, warc
+from lendgrade.llm import bpe, extraction, learning, linefield, packing, pivots, quality, simhash, topk, toxicity, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,7 +87,14 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"]).drop("score")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_warc_shards, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op7_embedding_near_dedup, op8_exact_topk, op9_url_filter, op10_toxicity_crf)}
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    wanted = learning.fold(F.col("doc_id"), QUALITY_FOLDS) != QUALITY_HELD  # the rest measures the verdicts
+    model = linefield.fit_labelled(docs, table(spark, sf_dir, "labels"), wanted)
+    return linefield.judge(docs, model, keep=["doc_id"]).drop("content")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_warc_shards, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op7_embedding_near_dedup, op8_exact_topk, op9_url_filter, op10_toxicity_crf, op12_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_shards": """
