@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrade.llm import bpe, extraction, learning, linefield, packing, pivots, quality, simhash, topk, toxicity, urlfilter, warc
+from lendgrade.llm import bpe, extraction, learning, linefield, packing, pivots, quality, simhash, topk, toxicity, urlfilter, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,7 +94,13 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linefield.judge(docs, model, keep=["doc_id"]).drop("content")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_warc_shards, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op7_embedding_near_dedup, op8_exact_topk, op9_url_filter, op10_toxicity_crf, op12_quality_rules)}
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # exact; beyond a long it is null here
+    return out.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_warc_shards, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op7_embedding_near_dedup, op8_exact_topk, op9_url_filter, op10_toxicity_crf, op12_quality_rules, op13_embedding_whitening)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_shards": """
