@@ -79,6 +79,16 @@ def score_partitions(df: DataFrame, fn: Callable[[list[str]], Iterable[tuple]],
     return src.mapInArrow(run, out)
 
 
+def matrix(column):
+    """An Arrow list column of one length as rows of a matrix of 64-bit integers."""
+    import numpy as np
+
+    if hasattr(column, "combine_chunks"):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components: (node, component), component the least node.
 

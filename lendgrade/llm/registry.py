@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendgrade.llm import bpe, extraction, learning, linefield, packing, pivots, quality, simhash, topk, toxicity, urlfilter, warc, whitening
+from lendgrade.llm import bpe, extraction, hardneg, learning, linefield, packing, pivots, quality, simhash, topk, toxicity, urlfilter, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +87,13 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"]).drop("score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every 7th row are off by one; anchors are every 100th."""
+    rows = table(spark, sf_dir, "embeddings")
+    off = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(rows.select("vec_id", "embedding", off.alias("label")), F.col("id") % 100 == 0)
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     wanted = learning.fold(F.col("doc_id"), QUALITY_FOLDS) != QUALITY_HELD  # the rest measures the verdicts
@@ -100,7 +107,7 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_warc_shards, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op7_embedding_near_dedup, op8_exact_topk, op9_url_filter, op10_toxicity_crf, op12_quality_rules, op13_embedding_whitening)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_warc_shards, op3_simhash_near_dedup, op4_byte_bpe, op5_best_fit_packing, op6_html_extraction, op7_embedding_near_dedup, op8_exact_topk, op9_url_filter, op10_toxicity_crf, op11_hard_negatives, op12_quality_rules, op13_embedding_whitening)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_shards": """
@@ -152,4 +159,26 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        ), pairs AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                   CAST(list_sum(list_transform(list_zip(a.x, r.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+               n.vec_id AS negative_id, positive_score, n.score AS negative_score
+        FROM p JOIN pairs n USING (anchor_id)
+        WHERE NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) <= 10
+    """,
 }

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendgrade.llm.common import bounded_batches, landed
+from lendgrade.llm.common import bounded_batches, landed, matrix
 
 SCALE = 256
 #: |x| below this is exact as a double.
@@ -50,12 +50,6 @@ def entries(df: DataFrame, vector: str = "embedding", key: str = "vec_id", scale
     return rows.where(F.coalesce(sound, F.lit(False))).select("id", F.transform(v, lambda c: F.floor(c).cast("bigint")).alias("x"))
 
 
-def _matrix(column) -> np.ndarray:
-    """An Arrow list column of one length as rows of a matrix."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
-
-
 def _whole(x: np.ndarray) -> np.ndarray:
     return x.astype(object)
 
@@ -77,7 +71,7 @@ def _sums(fit: DataFrame, dim: int) -> tuple[int, list[int]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, np.zeros(dim, dtype=object)
         for batch in batches:
-            x = _matrix(batch.column(0))
+            x = matrix(batch.column(0))
             if len(x):
                 n += len(x)
                 total += _whole(x.sum(axis=0)) if int(np.abs(x).max()) * len(x) < 2**63 else _whole(x).sum(axis=0)
@@ -100,7 +94,7 @@ def _products(fit: DataFrame, centre: np.ndarray) -> np.ndarray:
         total = np.zeros((dim, dim), dtype=object)
         some = False
         for batch in batches:
-            x = _matrix(batch.column(0))
+            x = matrix(batch.column(0))
             if len(x):
                 some = True
                 total += gram(x - centre)
@@ -255,7 +249,7 @@ def identity_error(vectors: DataFrame, model: Whitening) -> float | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(0))
+            x = matrix(batch.column(0))
             if len(x):
                 w = model.project(x)
                 yield pa.RecordBatch.from_arrays([pa.array(w[:, c]) for c in range(k)], names=names)
@@ -294,7 +288,7 @@ def whiten(df: DataFrame, components: int = 4, scale: int = SCALE, vector: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1))
+            x = matrix(batch.column(1))
             if not len(x):
                 continue
             far = [Decimal(d) if d < 10**38 else None for d in model.deviation(x)]
