@@ -20,7 +20,7 @@ from ..operators import clean, entities, profile, quarantine
 from ..operators.view import customer_loan
 from ..session import drop_at_exit, fresh_dir
 from ..sources.readers import read_csv, read_written_csv, read_written_entity_csv
-from ..sources.schemas import CATALOG_DDL, CUSTOMERS_DDL, IDENTITY_COLUMNS, LOANS_DDL, REPAYMENTS_DDL
+from ..sources.schemas import CATALOG_DDL, CODED_COLUMNS, CUSTOMERS_DDL, IDENTITY_COLUMNS, LOANS_DDL, REPAYMENTS_DDL
 from . import catalog, sinks
 from .stages import Stages
 
@@ -379,6 +379,56 @@ def cleaned_profile(spark, sf_dir):
     return _union([profile.null_profile(df, name) for name, df in tables.items()])
 
 
+def _steps(s: Stages) -> dict[str, list[tuple[DataFrame, profile.Tables]]]:
+    """What is profiled in each step: the raw split as columns of one frame,
+    then the cleaned tables."""
+    raw = s.keyed.withColumn("country", F.lit(entities.DEFAULT_COUNTRY))
+    shown = {t: {c: src or c for c, src in cols.items()} for t, cols in entities.entity_columns().items()}
+    cleaned = {
+        "customers": _no_ingest(s.customers),
+        "loans": _no_ingest(s.loans),
+        "loans_repayments": _no_ingest(s.repayments),
+        "loans_defaulters_delinq": s.delinq,
+        "loans_defaulters_detail_rec_enq": s.detail,
+    }
+    return {"raw": [(raw, shown)], "cleaned": [(df, profile.own_columns(df, name)) for name, df in cleaned.items()]}
+
+
+def _coded(tables: profile.Tables) -> profile.Tables:
+    return {t: {c: src for c, src in cols.items() if c in CODED_COLUMNS} for t, cols in tables.items()}
+
+
+def _per_step(spark, sf_dir, make) -> DataFrame:
+    parts = []
+    for step, frames in _steps(_mst(spark, sf_dir)).items():
+        parts += [make(df, tables).withColumn("step", F.lit(step)) for df, tables in frames]
+    return _union(parts)
+
+
+def value_histograms(spark, sf_dir):
+    """Rows per value of every coded column, in the raw split and when cleaned."""
+    return _per_step(spark, sf_dir, lambda df, tables: profile.value_histogram(df, _coded(tables)))
+
+
+def distinct_counts(spark, sf_dir):
+    """Distinct values of every column, in the raw split and when cleaned."""
+    return _per_step(spark, sf_dir, lambda df, tables: profile.distinct_counts(profile.value_histogram(df, tables)))
+
+
+def distinct_estimates(spark, sf_dir):
+    """The sketches' distinct estimates held against the exact counts. The
+    sketches are made of two halves of the rows and merged."""
+
+    def halves(df: DataFrame, tables: profile.Tables) -> DataFrame:
+        half = F.pmod(F.xxhash64(*df.columns[:3]), F.lit(2))
+        return profile.sketch_estimates(profile.merge_sketches(*[profile.column_sketches(df.where(half == i), tables) for i in (0, 1)]))
+
+    guess = _per_step(spark, sf_dir, halves).select("step", "table_name", "column_name", "distinct_estimate")
+    both = distinct_counts(spark, sf_dir).join(guess, ["step", "table_name", "column_name"])
+    within = profile.within_error(F.col("distinct_estimate"), F.col("distinct_count"))
+    return both.select("step", "table_name", "column_name", "row_count", "distinct_count", within.alias("within_error"))
+
+
 def step_counts(spark, sf_dir):
     """Rows before and after each cleaning step: one aggregate per source."""
     s = _mst(spark, sf_dir)
@@ -469,4 +519,7 @@ QUERIES: dict[str, Builder] = {
     "cleaned_profile": cleaned_profile,
     "key_profile": key_profile,
     "step_counts": step_counts,
+    "value_histograms": value_histograms,
+    "distinct_counts": distinct_counts,
+    "distinct_estimates": distinct_estimates,
 }

@@ -132,3 +132,36 @@ CATALOG_DDL = {
     "loans_defaulters_detail_rec_enq": DETAIL_DDL,
 }
 
+
+# Columns of few values, raw or cleaned: their histograms are exact. The others
+# (ids, amounts, free text) have sketches.
+CODED_COLUMNS = (
+    "emp_length",
+    "home_ownership",
+    "addr_state",
+    "address_state",
+    "country",
+    "address_country",
+    "grade",
+    "sub_grade",
+    "verification_status",
+    "verification_status_joint",
+    "application_type",
+    "term",
+    "loan_term_years",
+    "issue_d",
+    "issue_date",
+    "loan_status",
+    "purpose",
+    "loan_purpose",
+    "last_pymnt_d",
+    "last_payment_date",
+    "next_pymnt_d",
+    "next_payment_date",
+    "delinq_2yrs",
+    "pub_rec",
+    "pub_rec_bankruptcies",
+    "inq_last_6mths",
+    "mths_since_last_delinq",
+    "mths_since_last_record",
+)
