@@ -58,6 +58,8 @@ class ScoreConfig:
     ``null_component``: ``"null"`` lets an unmatched band make the whole score
     NULL (published behaviour, graded F); ``"unacceptable"`` scores it with
     the unacceptable points instead.
+    ``record_policy``: ``"published"`` quarantines every member with repeated
+    records; ``"latest"`` keeps the latest application of each member.
     """
 
     points: Points = field(default_factory=Points)
@@ -66,6 +68,7 @@ class ScoreConfig:
     delinq_overflow_pts: int | None = None
     population: str = "delinquent"
     null_component: str = "null"
+    record_policy: str = "published"
 
     def __post_init__(self) -> None:
         if self.population not in ("delinquent", "all"):
@@ -75,6 +78,9 @@ class ScoreConfig:
                 f"null_component must be 'null' or 'unacceptable', got {self.null_component!r}"
             )
 
+        if self.record_policy not in ("published", "latest"):
+            raise ValueError(f"record_policy must be 'published' or 'latest', got {self.record_policy!r}")
+
     @property
     def delinq_overflow(self) -> int:
         if self.delinq_overflow_pts is None:

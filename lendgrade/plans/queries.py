@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import ScoreConfig
 from ..functions.columns import EMPTY_IDENTITY_KEY
 from ..operators import clean, entities, profile, quarantine
 from ..operators.view import customer_loan
@@ -241,6 +242,24 @@ def quarantine_audit(spark, sf_dir):
     return out
 
 
+#: One application per member instead of none of the repeated ones.
+LATEST = ScoreConfig(record_policy="latest")
+
+
+def latest_applications(spark, sf_dir):
+    """The applications under the policy ``latest``."""
+    return Stages.shared(spark, sf_dir, LATEST).applications
+
+
+def quarantine_latest(spark, sf_dir):
+    return Stages.shared(spark, sf_dir, LATEST).bad
+
+
+def loan_score_latest(spark, sf_dir):
+    """The graded score with one application of every member."""
+    return _as_doubles(Stages.shared(spark, sf_dir, LATEST).loan_score)
+
+
 def exclude_customers(spark, sf_dir):
     return _no_ingest(_mst(spark, sf_dir).customers_new)
 
@@ -502,6 +521,9 @@ QUERIES: dict[str, Builder] = {
     "quarantine": quarantine_members,
     "quarantine_reasons": quarantine_reasons,
     "quarantine_audit": quarantine_audit,
+    "latest_applications": latest_applications,
+    "quarantine_latest": quarantine_latest,
+    "loan_score_latest": loan_score_latest,
     "exclude_customers": exclude_customers,
     "exclude_delinq": exclude_delinq,
     "exclude_detail": exclude_detail,

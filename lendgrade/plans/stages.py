@@ -22,11 +22,11 @@ from ..sources.fixture import raw_applications
 #: exchanges differ, so it cannot reuse them). The quarantine list is written
 #: for its anti joins as well: joined to a written table, a hot member is split
 #: by AQE, which it is not above the list's own aggregate.
-SHARED = ("keyed", "customers", "bad")
+SHARED = ("keyed", "applications", "customers", "bad")
 
 
-# (application, input) -> state of the input's files, stages
-_SHARED: dict[tuple[str, str], tuple[list, "Stages"]] = {}
+# (application, input, parameters) -> state of the input's files, stages
+_SHARED: dict[tuple[str, str, ScoreConfig], tuple[list, "Stages"]] = {}
 
 
 class Stages:
@@ -80,18 +80,17 @@ class Stages:
         return cls(raw_applications(spark, sf_dir), **kw)
 
     @classmethod
-    def shared(cls, spark: SparkSession, sf_dir: str) -> "Stages":
+    def shared(cls, spark: SparkSession, sf_dir: str, cfg: ScoreConfig = DEFAULT_CONFIG) -> "Stages":
         """The materialized stages of one input, written once per application
-        and used by every query on it; a change of the input's files (names,
-        sizes, times) makes new ones and removes the old."""
+        and used by every query on it. A change of the input's files (names,
+        sizes, times) makes new ones; the old stay until the process exits, as
+        DataFrames over them may still be read."""
         tables = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("orders", "customer", "nation")]
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg)
         state = [file_state(spark, t) for t in tables]
         known = _SHARED.get(key)
         if known is None or known[0] != state:
-            if known is not None:
-                known[1].cleanup()
-            _SHARED[key] = known = (state, cls.from_testdata(spark, sf_dir, materialize=True))
+            _SHARED[key] = known = (state, cls.from_testdata(spark, sf_dir, cfg=cfg, materialize=True))
         return known[1]
 
     # -- entity split ---------------------------------------------------------
@@ -99,9 +98,16 @@ class Stages:
     def keyed(self) -> DataFrame:
         return self._land(entities.with_member_key(self.raw), "keyed")
 
+    @cached_property
+    def applications(self) -> DataFrame:
+        """The keyed applications that the record policy lets through."""
+        if self.cfg.record_policy == "published":
+            return self.keyed
+        return self._land(quarantine.resolve(self.keyed, self.cfg.record_policy), "applications")
+
     @cached_property
     def split(self) -> dict[str, DataFrame]:
-        return entities.split_entities(self.keyed)
+        return entities.split_entities(self.applications)
 
     # -- cleaning -------------------------------------------------------------
     @cached_property

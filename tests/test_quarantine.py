@@ -30,3 +30,59 @@ def test_value_counts_top_cut_is_deterministic(spark):
     # and breaks the tie by value, nulls last
     df = spark.createDataFrame([(v,) for v in "dddabcabc"] + [(None,), (None,)], "v string")
     assert [tuple(r) for r in profile.value_counts(df, "v", top=3).collect()] == [("d", 3), ("a", 2), ("b", 2)]
+
+
+def test_latest_policy_keeps_one_application_of_each_member(spark):
+    import pytest
+
+    from lendgrade.functions.columns import EMPTY_IDENTITY_KEY as BLANK
+
+    rows = [("a", 1, "x"), ("a", 7, "y"), ("a", 3, "z"), ("b", 2, "x"), (BLANK, 4, "x"), (BLANK, 5, "x"), ("c", None, "x"), ("c", 6, "y"), ("d", 9, "p"), ("d", 9, "q"), ("d", 9, "q")]
+    df = spark.createDataFrame(rows, "member_id string, id int, __place string")
+    assert quarantine.resolve(df).count() == len(rows)  # as published
+    got = sorted(tuple(r) for r in quarantine.resolve(df, "latest").collect())
+    assert [g for g in got if g[0] != "d"] == sorted([("a", 7, "y"), ("b", 2, "x"), ("c", 6, "y"), (BLANK, 4, "x"), (BLANK, 5, "x")])
+    assert len([g for g in got if g[0] == "d"]) == 1  # ties: one, the same every time
+    assert got == sorted(tuple(r) for r in quarantine.resolve(df.repartition(5), "latest").collect())
+    assert quarantine.resolve(df.limit(0), "latest").count() == 0
+    with pytest.raises(ValueError):
+        quarantine.resolve(df, "first")
+
+
+def test_latest_policy_sends_one_row_of_a_hot_member_per_task(spark):
+    n = 60_000
+    df = spark.range(n, numPartitions=6).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS member_id", "id")
+    out = quarantine.resolve(df, "latest")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the limit of one row per member comes before the shuffle, and after it again
+    limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
+    assert "Partial" in limits[-1] and "Final" in limits[0], plan
+    assert plan.index("WindowGroupLimit", plan.index("Exchange hashpartitioning")) > plan.index("Exchange hashpartitioning")
+    kept = {r.member_id: r.id for r in out.collect()}
+    assert len(kept) == n - n // 3 + 1 and kept["hot"] == n - 3
+
+
+def test_stages_under_the_latest_policy_follow_it(spark, sf_small):
+    from lendgrade.config import ScoreConfig
+    from lendgrade.plans.stages import Stages
+
+    s = Stages.from_testdata(spark, sf_small, cfg=ScoreConfig(record_policy="latest"))
+    published = Stages.from_testdata(spark, sf_small)
+    assert s.applications.groupBy("member_id").count().where("count > 1").count() <= 1  # but the blank identity
+    assert s.bad.count() <= 1 < published.bad.count()
+    assert s.loan_score.count() > published.loan_score.count()
+
+
+def test_older_frames_survive_a_change_of_the_input(spark, sf_small, tmp_path):
+    import shutil
+
+    from lendgrade.plans.stages import Stages
+
+    for t in ("orders", "customer", "nation"):
+        shutil.copy(f"{sf_small}/{t}.parquet", tmp_path / f"{t}.parquet")
+    old = Stages.shared(spark, str(tmp_path)).bad
+    n = old.count()
+    spark.read.parquet(f"{sf_small}/orders.parquet").limit(300).toPandas().to_parquet(tmp_path / "orders.parquet")
+    new = Stages.shared(spark, str(tmp_path))
+    assert new.keyed.count() == 300
+    assert old.count() == n  # its files are still there
