@@ -59,6 +59,27 @@ def register_external_table(spark: SparkSession, qualified: str, ddl: str, locat
     return spark.table(qualified)
 
 
+def publish_table(spark: SparkSession, qualified: str, ddl: str, location: str) -> DataFrame:
+    """Point a table at another folder of committed files.
+
+    An external table of this schema only changes its location, in one step of
+    the catalog, so a reader sees the old rows or the new, never none. A table
+    that is absent, or has another schema, is registered anew.
+    """
+    if spark.catalog.tableExists(qualified) and spark.catalog.getTable(qualified).tableType == "EXTERNAL":
+        fields = [(f.name, f.dataType) for f in spark.table(qualified).schema.fields]
+        if fields == [(f.name, f.dataType) for f in StructType.fromDDL(ddl).fields]:
+            spark.sql(f"ALTER TABLE {qualified} SET LOCATION {_q(location)}")
+            spark.catalog.refreshTable(qualified)
+            return spark.table(qualified)
+    return register_external_table(spark, qualified, ddl, location)
+
+
+def ddl_of(df: DataFrame) -> str:
+    """The schema of a frame as DDL."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def customer_loan_view_sql(db: str, view: str = "customers_loan_v") -> str:
     """SQL text of the consolidated view over the quarantined tables."""
     cols = (

@@ -84,6 +84,55 @@ def file_state(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(found)
 
 
+def file_status(spark: SparkSession, path: str) -> list:
+    """Name, size and time of one file."""
+    fs, p = _hadoop_path(spark, path)
+    f = fs.getFileStatus(p)
+    return [f.getPath().toString(), f.getLen(), f.getModificationTime()]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    fs, p = _hadoop_path(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, by the cluster's file system."""
+    fs, p = _hadoop_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_atomically(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that readers see whole or not at all: written under a
+    temporary name, then renamed over the old one."""
+    fs, p = _hadoop_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    temp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    stream = fs.create(temp, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(temp, p, options)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

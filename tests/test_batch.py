@@ -45,8 +45,7 @@ def test_batch_invariants(spark, batch):
 
 
 def test_batch_quarantine_audit(spark, batch):
-    root = batch.tables["bad_customer_data_final"].rsplit("/", 1)[0]
-    reasons = spark.read.parquet(f"{root}/bad_customer_data_reasons")
+    reasons = spark.read.parquet(batch.tables["bad_customer_data_final"].replace("_final", "_reasons"))
     final = batch.table(spark, "bad_customer_data_final")
     assert reasons.count() == final.count() == 45
     assert reasons.where("reasons = ''").count() == 0
@@ -126,3 +125,86 @@ def test_stage_folder_cleanup(spark, sf_small):
     assert os.path.isdir(local)
     s.cleanup()
     assert not os.path.exists(local)
+
+
+def _files(root):
+    import os
+
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(root) for f in fs if not f.startswith(".")}
+
+
+def test_failed_run_is_taken_up_and_readers_never_see_a_gap(spark, sf_small, tmp_path, monkeypatch):
+    import os
+
+    from lendgrade.plans import batch as job
+    from lendgrade.plans import sinks
+
+    root = str(tmp_path / "r")
+    raw = raw_applications(spark, sf_small)
+    run = lambda df: run_batch(spark, df, Layout(root), database="lg_restart", csv_copies=False)
+
+    # the fourth stage fails: three are committed, nothing is published
+    def broken(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(job.view, "customer_loan", broken)
+        with pytest.raises(RuntimeError):
+            run(raw)
+    assert not spark.catalog.databaseExists("lg_restart")
+    before = _files(root)
+    first = run(raw)
+    assert (first.skipped, first.written) == (["land", "clean", "quarantine"], ["relate", "score"])
+    after = _files(root)
+    assert all(after[f] == t for f, t in before.items())  # the committed stages are untouched
+    assert len({r[0] for t in ("customers", "loans") for r in spark.read.parquet(first.tables[t]).select("ingest_date").distinct().collect()}) == 1
+    assert first.table(spark, "loan_score").count() == 1208
+
+    # a run over other rows: whoever reads while it writes sees the old tables
+    seen = []
+    put = sinks.write_parquet
+
+    def watched(df, path, *a, **k):
+        seen.append((spark.table("lg_restart.loan_score").count(), spark.table("lg_restart.customers").count()))
+        put(df, path, *a, **k)
+        seen.append((spark.table("lg_restart.loan_score").count(), spark.table("lg_restart.customers").count()))
+
+    old = (1208, spark.table("lg_restart.customers").count())
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_parquet", watched)
+        second = run(raw.where("id % 2 = 0"))
+    assert second.written == ["land", "clean", "quarantine", "relate", "score"] and set(seen) == {old}
+    assert spark.table("lg_restart.loan_score").count() < 1208
+    assert spark.table("lg_restart.customers_loan_v").count() == spark.table("lg_restart.customers_loan_t").count()
+
+    # a published run is not taken up again; of the runs before, one stays
+    third = run(raw)
+    assert third.skipped == []
+    assert not os.path.exists(first.tables["loan_score"]) and os.path.exists(second.tables["loan_score"])
+    spark.sql("DROP DATABASE lg_restart CASCADE")
+
+
+def test_stage_with_missing_folders_is_written_again(spark, tmp_path):
+    from lendgrade.plans import commits
+
+    run = commits.open_run(spark, str(tmp_path), "s", "2024-01-01 00:00:00")
+    wrote = []
+
+    def write():
+        path = run.versioned(f"{tmp_path}/t")
+        spark.range(3).write.mode("overwrite").parquet(path)
+        wrote.append(path)
+        return [path]
+
+    run.stage("one", write)
+    run.stage("one", write)
+    assert len(wrote) == 1 and run.skipped == ["one"]
+    (tmp_path / "t" / f"run={run.id}" / "_SUCCESS").unlink()  # a folder that is not whole
+    run.stage("one", write)
+    assert len(wrote) == 2
+    # the run is known by its input; another input, or none, opens another
+    assert commits.open_run(spark, str(tmp_path), "s", "x").id == run.id
+    assert commits.open_run(spark, str(tmp_path), "s", "x").ingest_ts == "2024-01-01 00:00:00"
+    assert len({commits.open_run(spark, str(tmp_path), s, "x").id for s in ("t", None, None)} | {run.id}) == 4
+    frame = spark.createDataFrame([(1,)], "x int")
+    assert commits.input_state(frame) is None

@@ -66,8 +66,8 @@ def test_stages_under_the_latest_policy_follow_it(spark, sf_small):
     from lendgrade.config import ScoreConfig
     from lendgrade.plans.stages import Stages
 
-    s = Stages.from_testdata(spark, sf_small, cfg=ScoreConfig(record_policy="latest"))
-    published = Stages.from_testdata(spark, sf_small)
+    s = Stages.shared(spark, sf_small, ScoreConfig(record_policy="latest"))
+    published = Stages.shared(spark, sf_small)
     assert s.applications.groupBy("member_id").count().where("count > 1").count() <= 1  # but the blank identity
     assert s.bad.count() <= 1 < published.bad.count()
     assert s.loan_score.count() > published.loan_score.count()
@@ -76,13 +76,15 @@ def test_stages_under_the_latest_policy_follow_it(spark, sf_small):
 def test_older_frames_survive_a_change_of_the_input(spark, sf_small, tmp_path):
     import shutil
 
+    import pyarrow.parquet as pq
+
     from lendgrade.plans.stages import Stages
 
     for t in ("orders", "customer", "nation"):
         shutil.copy(f"{sf_small}/{t}.parquet", tmp_path / f"{t}.parquet")
     old = Stages.shared(spark, str(tmp_path)).bad
     n = old.count()
-    spark.read.parquet(f"{sf_small}/orders.parquet").limit(300).toPandas().to_parquet(tmp_path / "orders.parquet")
+    pq.write_table(pq.read_table(f"{sf_small}/orders.parquet").slice(0, 300), tmp_path / "orders.parquet")
     new = Stages.shared(spark, str(tmp_path))
     assert new.keyed.count() == 300
     assert old.count() == n  # its files are still there
