@@ -156,7 +156,7 @@ def test_failed_run_is_taken_up_and_readers_never_see_a_gap(spark, sf_small, tmp
     first = run(raw)
     assert (first.skipped, first.written) == (["land", "clean", "quarantine"], ["relate", "score"])
     after = _files(root)
-    assert all(after[f] == t for f, t in before.items())  # the committed stages are untouched
+    assert all(after[f] == t for f, t in before.items() if f.endswith(".parquet"))  # the committed stages are untouched
     assert len({r[0] for t in ("customers", "loans") for r in spark.read.parquet(first.tables[t]).select("ingest_date").distinct().collect()}) == 1
     assert first.table(spark, "loan_score").count() == 1208
 
