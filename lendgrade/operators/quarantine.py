@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import EMPTY_IDENTITY_KEY
@@ -89,6 +89,65 @@ def exclude_members(df: DataFrame, bad: DataFrame, key: str = "member_id") -> Da
     return df.join(bad.select(key), on=key, how="left_anti")
 
 
+#: Bits of the filter per listed key, and the most words of 64 bits that it may
+#: have (8 MB, sent with the tasks of a stage).
+FILTER_BITS, FILTER_WORDS = 16, 2**20
+#: With fewer bits per key than this the filter lets too much through to help.
+LEAST_BITS = 4
+
+
+def _place_and_mask(key: str, words: int) -> tuple[Column, Column]:
+    """A key's word of the filter, and its four bits there."""
+    bits, one = F.xxhash64(key, F.lit(1)), F.lit(1).cast("bigint")
+    mask = None
+    for i in range(4):
+        at = F.shiftrightunsigned(bits, 6 * i).bitwiseAND(F.lit(63)).cast("int")
+        bit = F.call_function("shiftleft", one, at)
+        mask = bit if mask is None else mask.bitwiseOR(bit)
+    return F.pmod(F.xxhash64(key), F.lit(words)).cast("int"), mask
+
+
+def filter_words(keys: int, most: int = FILTER_WORDS) -> int:
+    """Words of a filter of so many keys; 0 if it would not help."""
+    words = min(most, 1 << max(0, -(-keys * FILTER_BITS // 64) - 1).bit_length())
+    return words if words * 64 >= keys * LEAST_BITS else 0
+
+
+def key_filter(bad: DataFrame, words: int, key: str = "member_id") -> DataFrame:
+    """One row with the Bloom filter of the listed keys (``words``), four bits
+    of one word per key. Its size is that of ``words``, not of the list."""
+    place, mask = _place_and_mask(key, words)
+    own = bad.select(place.alias("place"), mask.alias("mask")).groupBy("place").agg(F.bit_or("mask").alias("mask"))
+    every = bad.sparkSession.range(words).select(F.col("id").cast("int").alias("place")).join(own, "place", "left")
+    cells = F.sort_array(F.collect_list(F.struct("place", F.coalesce("mask", F.lit(0)).alias("mask"))))
+    return every.agg(cells.getField("mask").alias("words"))
+
+
+def may_be_listed(bad: DataFrame, words: int, key: str = "member_id") -> Column:
+    """False for keys that are surely not in the list."""
+    place, mask = _place_and_mask(key, words)
+    cell = F.get(key_filter(bad, words, key).scalar(), place)
+    return F.coalesce(cell.bitwiseAND(mask) == mask, F.lit(False))
+
+
+def exclude_members_filtered(df: DataFrame, bad: DataFrame, key: str = "member_id", words: int | None = None) -> DataFrame:
+    """``exclude_members`` for a list too large to broadcast and a table far
+    larger: rows that a Bloom filter of the list rules out pass in place, and
+    only the others are shuffled to the exact anti join.
+
+    The table is scanned twice for that, with its filters and columns pushed
+    down. ``bad`` should be a written list, as it is counted and read for the
+    filter and the join. Beyond ``FILTER_WORDS`` words for it, this is the
+    plain anti join.
+    """
+    if words is None:
+        words = filter_words(bad.count())
+    if not words:
+        return exclude_members(df, bad, key)
+    maybe = may_be_listed(bad, words, key)
+    return df.where(~maybe).unionByName(exclude_members(df.where(maybe), bad, key))
+
+
 def quarantine_reasons(named: dict[str, DataFrame], key: str = "member_id") -> DataFrame:
     """Audit list: every quarantined key once, with the tables it repeats in
     (``reasons``, comma-separated, sorted). One shuffle on the key; the set

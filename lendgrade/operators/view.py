@@ -80,15 +80,20 @@ def customer_loan(
     ``customers``, ``delinq`` and ``detail`` are the quarantined tables (one
     row per member); loans of the members in ``bad`` are left out here.
     """
-    loans = exclude_members(loans, bad)
+    return customer_loan_of(customers, exclude_members(loans, bad), repayments, delinq, detail)
+
+
+def customer_loan_of(customers: DataFrame, loans: DataFrame, repayments: DataFrame, delinq: DataFrame, detail: DataFrame) -> DataFrame:
+    """``customer_loan`` of tables that hold no quarantined member. Loans meet
+    their repayments first, then all tables meet on the member: tables that
+    are bucketed by these keys stay where they are (``catalog.materialise_bucketed``)."""
     c = customers.select(*CUSTOMER_VIEW_COLUMNS)
     l = loans.select("loan_id", F.col("member_id").alias("_l_member"), *LOAN_VIEW_COLUMNS)
     r = repayments.select(F.col("loan_id").alias("_r_loan"), *REPAYMENT_VIEW_COLUMNS)
     d = delinq.select(F.col("member_id").alias("_d_member"), *DELINQ_VIEW_COLUMNS)
     e = detail.select(F.col("member_id").alias("_e_member"), *DETAIL_VIEW_COLUMNS)
     j = (
-        c.join(l, c.member_id == l._l_member, "left")
-        .join(r, l.loan_id == r._r_loan, "left")
+        c.join(l.join(r, l.loan_id == r._r_loan, "left"), c.member_id == l._l_member, "left")
         .join(d, c.member_id == d._d_member, "left")
         .join(e, c.member_id == e._e_member, "left")
     )

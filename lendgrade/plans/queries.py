@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..config import ScoreConfig
 from ..functions.columns import EMPTY_IDENTITY_KEY
 from ..operators import clean, entities, profile, quarantine
-from ..operators.view import customer_loan
+from ..operators.view import customer_loan, customer_loan_of
 from ..session import drop_at_exit, fresh_dir
 from ..sources.readers import read_csv, read_written_csv, read_written_entity_csv
 from ..sources.schemas import CATALOG_DDL, CODED_COLUMNS, CUSTOMERS_DDL, IDENTITY_COLUMNS, LOANS_DDL, REPAYMENTS_DDL
@@ -272,6 +272,12 @@ def exclude_detail(spark, sf_dir):
     return _mst(spark, sf_dir).detail_new
 
 
+def exclude_loans(spark, sf_dir):
+    """Loans of the members that are not quarantined, by a filter of the list."""
+    s = _mst(spark, sf_dir)
+    return _no_ingest(quarantine.exclude_members_filtered(s.loans, s.bad))
+
+
 # -- catalog objects and the consolidated view ----------------------------------------
 
 def publish_catalog(spark: SparkSession, s: Stages) -> str:
@@ -333,6 +339,24 @@ def customer_loan_table(spark, sf_dir):
     return stored
 
 
+def customer_loan_bucketed(spark, sf_dir, buckets: int = 8):
+    """The consolidated relation over tables bucketed by their join keys."""
+    s = _mst(spark, sf_dir)
+    root = fresh_dir(spark, "bucketed")
+    db = f"lendgrade_{uuid.uuid4().hex[:10]}"
+    drop_at_exit(spark, db)
+    catalog.create_database(spark, db, f"{root}/{db}.db")
+    tables = {
+        "customers_new": (s.customers_new, "member_id"),
+        "loans_new": (quarantine.exclude_members_filtered(s.loans, s.bad), "loan_id"),
+        "loans_repayments": (s.repayments, "loan_id"),
+        "loans_defaulters_delinq_new": (s.delinq_new, "member_id"),
+        "loans_defaulters_detail_rec_enq_new": (s.detail_new, "member_id"),
+    }
+    stored = [catalog.materialise_bucketed(spark, df, f"{db}.{name}", by, buckets, f"{root}/{name}") for name, (df, by) in tables.items()]
+    return customer_loan_of(*stored)
+
+
 def customer_loan_csv(spark, sf_dir):
     """The consolidated relation from the CSV half of the dual sink."""
     root = fresh_dir(spark, "customers_loan_dual")
@@ -527,9 +551,11 @@ QUERIES: dict[str, Builder] = {
     "exclude_customers": exclude_customers,
     "exclude_delinq": exclude_delinq,
     "exclude_detail": exclude_detail,
+    "exclude_loans": exclude_loans,
     "customer_loan": customer_loan_relation,
     "customer_loan_view": customer_loan_view,
     "customer_loan_table": customer_loan_table,
+    "customer_loan_bucketed": customer_loan_bucketed,
     "customer_loan_csv": customer_loan_csv,
     "payment_history_points": payment_history_points,
     "default_history_points": default_history_points,

@@ -88,3 +88,43 @@ def test_older_frames_survive_a_change_of_the_input(spark, sf_small, tmp_path):
     new = Stages.shared(spark, str(tmp_path))
     assert new.keyed.count() == 300
     assert old.count() == n  # its files are still there
+
+
+def test_filtered_exclusion_equals_the_plain_one(spark):
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 1001 = 0 THEN NULL ELSE concat('m', id) END AS member_id", "id AS v")
+    bad = spark.range(3000).selectExpr("CASE WHEN id = 0 THEN 'hot' ELSE concat('m', id * 7) END AS member_id")
+    plain = quarantine.exclude_members(df, bad)
+    key = lambda d: sorted((r.v, r.member_id or "") for r in d.collect())
+    want = key(plain)
+    assert key(quarantine.exclude_members_filtered(df, bad)) == want
+    for words in (1, 2, 64):  # one word: false positives all over
+        assert key(quarantine.exclude_members_filtered(df, bad, words=words)) == want
+    assert key(quarantine.exclude_members_filtered(df, bad.limit(0))) == key(df)
+    # no listed key is ruled out, and few others get through
+    words = quarantine.filter_words(bad.count())
+    maybe = quarantine.may_be_listed(bad, words)
+    assert bad.where(~maybe).count() == 0
+    others = df.where("member_id <> 'hot'").join(bad, "member_id", "left_anti")
+    assert others.where(maybe).count() < 0.02 * others.count()
+    # a list too long for the filter: the plain join
+    assert quarantine.filter_words(3000, 2) == 0 and quarantine.filter_words(0) == 1
+
+
+def test_filtered_exclusion_shuffles_no_row_that_the_filter_rules_out(spark, tmp_path):
+    from test_skew import conf
+
+    spark.range(50_000).selectExpr("concat('m', id) AS member_id", "id AS v").write.parquet(str(tmp_path / "big"))
+    big = spark.read.parquet(str(tmp_path / "big"))
+    spark.range(2000).selectExpr("concat('m', id * 5) AS member_id").write.parquet(str(tmp_path / "bad"))
+    bad = spark.read.parquet(str(tmp_path / "bad"))
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        out = quarantine.exclude_members_filtered(big, bad)
+        assert out.count() == 48_000
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        logical = out._jdf.queryExecution().optimizedPlan().toString()
+    # only the join's two sides are dealt by member, and its left side is filtered
+    # below the exchange
+    assert plan.count("Exchange hashpartitioning(member_id") == 2, plan
+    passing, joined = logical[logical.index("Union") :].split("Join LeftAnti", 1)
+    assert "Filter" in passing and "Join" not in passing.replace("Join LeftOuter", "")
+    assert joined.lstrip(", (member_id#0123456789=)\n :+-").startswith("Filter"), joined
