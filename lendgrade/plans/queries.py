@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from ..config import ScoreConfig
 from ..functions.columns import EMPTY_IDENTITY_KEY
-from ..operators import clean, entities, profile, quarantine
+from ..operators import audit, clean, entities, profile, quarantine
 from ..operators.view import customer_loan, customer_loan_of
 from ..session import drop_at_exit, fresh_dir
-from ..sources.readers import read_csv, read_written_csv, read_written_entity_csv
+from ..sources.readers import read_csv, read_entity_csv_checked, read_written_csv, read_written_entity_csv
 from ..sources.schemas import CATALOG_DDL, CODED_COLUMNS, CUSTOMERS_DDL, IDENTITY_COLUMNS, LOANS_DDL, REPAYMENTS_DDL
 from . import catalog, sinks
 from .stages import Stages
@@ -119,6 +119,45 @@ def csv_inferred_defaulters(spark, sf_dir):
     return read_csv(spark, path, infer=True)
 
 
+def _broken_lines(df: DataFrame, faults: dict[str, str], cut: str, longer: str | None = None) -> DataFrame:
+    """Lines of a foreign CSV without header: values replaced where ``faults``
+    say so (column -> CASE arms), lines cut short or with a field too many
+    under the conditions ``cut`` and ``longer``."""
+    fields = [f"coalesce(CAST(CASE {faults[c]} ELSE CAST(`{c}` AS STRING) END AS STRING), '')" if c in faults else f"coalesce(CAST(`{c}` AS STRING), '')" for c in df.columns]
+    whole, short = f"concat_ws(',', {', '.join(fields)})", f"concat_ws(',', {', '.join(fields[:3])})"
+    more = f"WHEN {longer} THEN concat({whole}, ',x') " if longer else ""
+    return df.selectExpr(f"CASE WHEN {cut} THEN {short} {more}ELSE {whole} END AS value")
+
+
+def _foreign(spark, sf_dir) -> dict[str, DataFrame]:
+    """Foreign files of repayments and defaulters with broken rows, read with
+    the reasons against them."""
+    split = _st(spark, sf_dir).split
+    lines = {
+        "repayments": _broken_lines(split["repayments"], {"total_pymnt": "WHEN total_rec_int = 9 THEN 'n/a'"}, "total_rec_int = 7", "total_rec_int = 8"),
+        "defaulters": _broken_lines(split["defaulters"], {"mths_since_last_record": "WHEN delinq_amnt = 300 THEN 'long ago'"}, "inq_last_6mths = 5"),
+    }
+    out = {}
+    for name, df in lines.items():
+        path = fresh_dir(spark, f"foreign-{name}")
+        df.write.mode("overwrite").text(path)
+        out[name] = read_entity_csv_checked(spark, path, name, header=False)
+    return out
+
+
+def csv_audit_counts(spark, sf_dir):
+    """Rows of foreign files by the reason against them."""
+    return audit.audit_counts(_union([audit.audit_list(rows, name) for name, rows in _foreign(spark, sf_dir).items()]))
+
+
+def csv_accepted_repayments(spark, sf_dir):
+    return audit.accepted(_foreign(spark, sf_dir)["repayments"])
+
+
+def csv_accepted_defaulters(spark, sf_dir):
+    return audit.accepted(_foreign(spark, sf_dir)["defaulters"])
+
+
 # -- cleaning -------------------------------------------------------------------------
 
 def clean_customers(spark, sf_dir):
@@ -524,6 +563,9 @@ QUERIES: dict[str, Builder] = {
     "csv_roundtrip_repayments": csv_roundtrip_repayments,
     "csv_roundtrip_defaulters": csv_roundtrip_defaulters,
     "csv_inferred_defaulters": csv_inferred_defaulters,
+    "csv_audit_counts": csv_audit_counts,
+    "csv_accepted_repayments": csv_accepted_repayments,
+    "csv_accepted_defaulters": csv_accepted_defaulters,
     "clean_customers": clean_customers,
     "emp_length_values": emp_length_values,
     "state_values": state_values,

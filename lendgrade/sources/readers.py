@@ -8,12 +8,19 @@ come back as they were.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators import audit
+from ..operators.clean import LOAN_REQUIRED, REPAYMENT_REQUIRED
 from .schemas import ENTITY_DDL
 
+#: Columns without which the cleaning drops a row.
+REQUIRED = {"loans": LOAN_REQUIRED, "repayments": REPAYMENT_REQUIRED, "customers": ("annual_inc",)}
+
 #: Options that reader and writer share.
 CSV_OPTIONS = {
     "header": "true",
@@ -59,6 +66,25 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, header:
     return r.csv(path)
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: str, required: Iterable[str] = (), header: bool = True) -> DataFrame:
+    """A foreign CSV with the reasons against each row (``operators.audit``):
+    its columns, bound by position and typed, the record's text, the reasons
+    and whether the row is rejected. Lines of too few or too many fields are
+    malformed."""
+    texts = [StructField(f.name, StringType()) for f in StructType.fromDDL(schema).fields]
+    r = spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    r = r.option("escape", '"')  # quotes inside quotes are doubled
+    r = r.option("columnPruning", False)  # a parser of fewer columns does not see that a line is short
+    lines = r.schema(StructType([*texts, StructField(CORRUPT, StringType())])).csv(path)
+    return audit.checked(lines, schema, required, CORRUPT)
+
+
+def read_entity_csv_checked(spark: SparkSession, path: str, entity: str, header: bool = True) -> DataFrame:
+    """``read_csv_checked`` of an entity CSV, with the columns that its
+    cleaning requires."""
+    return read_csv_checked(spark, path, ENTITY_DDL[entity], REQUIRED.get(entity, ()), header)
+
+
 def read_written_csv(spark: SparkSession, path: str, schema: str, corrupt: bool = False) -> DataFrame:
     """A CSV written by ``sinks.write_csv``, columns bound by position.
 
