@@ -22,6 +22,7 @@ from ..operators.view import customer_loan, customer_loan_of
 from ..session import drop_at_exit, fresh_dir
 from ..sources.readers import read_csv, read_entity_csv_checked, read_written_csv, read_written_entity_csv
 from ..sources.schemas import CATALOG_DDL, CODED_COLUMNS, CUSTOMERS_DDL, IDENTITY_COLUMNS, LOANS_DDL, REPAYMENTS_DDL
+from ..streaming import landing
 from . import catalog, sinks
 from .stages import Stages
 
@@ -299,6 +300,16 @@ def loan_score_latest(spark, sf_dir):
     return _as_doubles(Stages.shared(spark, sf_dir, LATEST).loan_score)
 
 
+def landing_quarantine(spark, sf_dir):
+    """The members that repeat, found by the stream over a landing folder whose
+    files arrive one by one."""
+    root = fresh_dir(spark, "landing")
+    _st(spark, sf_dir).raw.repartition(3, "id").write.mode("overwrite").parquet(f"{root}/in")
+    query = landing.quarantine_landing(spark, f"{root}/in", f"{root}/out", f"{root}/state", fmt="parquet", max_files_per_trigger=1)
+    query.awaitTermination()
+    return landing.read_repeated(spark, f"{root}/out")
+
+
 def exclude_customers(spark, sf_dir):
     return _no_ingest(_mst(spark, sf_dir).customers_new)
 
@@ -587,6 +598,7 @@ QUERIES: dict[str, Builder] = {
     "quarantine": quarantine_members,
     "quarantine_reasons": quarantine_reasons,
     "quarantine_audit": quarantine_audit,
+    "landing_quarantine": landing_quarantine,
     "latest_applications": latest_applications,
     "quarantine_latest": quarantine_latest,
     "loan_score_latest": loan_score_latest,

@@ -36,3 +36,38 @@ def test_landing_ingestion_matches_batch_split(spark, sf_small):
     # another checkpoint would start at batch 0 and overwrite: refused
     with pytest.raises(FileExistsError):
         ingest_landing(spark, f"{landing}/*", out, tempfile.mkdtemp(prefix="lendgrade-stream-ckpt-"))
+
+
+def test_members_repeated_across_batches_are_listed(spark, sf_small, tmp_path):
+    from lendgrade.plans.stages import Stages
+    from lendgrade.streaming.landing import REPEATED, quarantine_landing, read_repeated
+
+    raw = raw_applications(spark, sf_small)
+    land, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    thirds = [raw.where(f"id % 3 = {i}") for i in range(3)]
+
+    def run():
+        q = quarantine_landing(spark, land, out, state, fmt="parquet", max_files_per_trigger=1)
+        q.awaitTermination(300)
+        assert q.exception() is None
+
+    def batch_list(df):
+        s = Stages(df)
+        return {r.member_id for r in s.dup_detail.union(s.dup_customers).union(s.dup_delinq).distinct().collect()}
+
+    # two arrivals, then, after a restart, a third: the list is the batch job's each time
+    for df in thirds[:2]:
+        df.coalesce(1).write.mode("append").parquet(land)
+    run()
+    assert {r.member_id for r in read_repeated(spark, out).collect()} == batch_list(thirds[0].union(thirds[1]))
+    thirds[2].coalesce(1).write.mode("append").parquet(land)
+    run()
+    got = {r.member_id: r.reasons for r in read_repeated(spark, out).collect()}
+    assert set(got) == batch_list(raw)
+    # some of them repeat in no batch alone
+    assert set(got) - set().union(*[batch_list(t) for t in thirds])
+    s = Stages.shared(spark, sf_small)
+    for name, part in (("customers", s.dup_customers), ("loans_defaulters_delinq", s.dup_delinq), ("loans_defaulters_detail_rec_enq", s.dup_detail)):
+        assert {m for m, reasons in got.items() if name in reasons.split(",")} == {r.member_id for r in part.collect()}, name
+    # a batch that is replayed replaces its list
+    assert spark.read.parquet(f"{out}/{REPEATED}").select("batch_id").distinct().count() == 3
