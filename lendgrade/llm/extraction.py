@@ -7,7 +7,8 @@ is weighed by the last structural tag before it, a tag by its name and class
 learned). One linear scan finds the contiguous run of greatest total weight,
 the content region; what it holds of scripts, menus, notices, adverts, forms
 and reader comments is left out of the text, and does not cut the region
-however long it is.
+however long it is. An element is furniture by its tag or by a whole class, id
+or role, not by a part of one; a header is, unless it is inside the content.
 
 Labelled pages are those whose markup names the content itself, by one
 ``article`` (or ``main``) element; a bounded sample of them is learned from.
@@ -53,31 +54,58 @@ LEFT_OUT = frozenset("head nav aside footer form button select option fieldset l
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar "
     "cookie cookies consent notice notices alert popup modal newsletter subscribe signup login share sharing social related recommended "
-    "comment comments discussion replies disqus footer copyright masthead topbar toolbar pagination pager widget".split()
+    "comment comments discussion replies disqus footer header copyright masthead topbar toolbar pagination pager widget".split()
 )
 #: Of these, names that content may have as well.
 AMBIGUOUS = frozenset("notice notices alert related recommended copyright share sharing social discussion replies promotion promo widget".split())
+#: Words that stand beside a furniture name in a compound without changing it
+#: (site-footer, ad_box); any other word does (ad-hoc, has-sidebar, banner-title).
+BESIDE = frozenset("site top bottom left right global main primary secondary bar box block container wrapper wrap list area section inner outer item items links".split())
+#: Names of comments, which may hold more words than the article.
+COMMENTS = frozenset("comment comments discussion replies disqus".split())
 CONTENT = ("article", "main")
-
-
-def furniture(attributes: str) -> str | None:
-    """The first furniture name among an element's classes, id and role; an
-    ambiguous one only of classes and role, and if there is no other."""
+#: Classes, ids and roles of elements that hold the content, as whole names.
+CONTENT_NAMES = frozenset("content article post entry story main main-content page-content article-content article-body post-content post-body entry-content story-body".split())
+#: Elements that begin a new one of their own kind.
+SIBLINGS = frozenset("p li tr td th dt dd option".split())
+#: An element left out by name holds the content after all if it holds so much
+#: of the words that are not in elements left out by their tag.
+MOST = 0.9
+
+
+def _furniture_name(name: str) -> str | None:
+    """The furniture name that a whole class, id or role is: the name itself,
+    or a compound of furniture names and words that may stand beside them."""
+    if name in FURNITURE:
+        return name
+    parts = re.split(r"[_-]+", name)
+    if len(parts) > 1 and all(p in FURNITURE or p in BESIDE or p.isdigit() for p in parts):
+        return next((p for p in parts if p in FURNITURE), None)
+    return None
+
+
+def names_of(attributes: str) -> tuple[str | None, bool]:
+    """The first furniture name among an element's classes, id and role (an
+    ambiguous one only of classes and role, and if there is no other), and
+    whether one of them names the content."""
     if "=" not in attributes:
-        return None
-    unsure = None
+        return None, False
+    sure, unsure, content = None, None, False
     for m in HINT.finditer(attributes):
-        for name in re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower()):
-            if name in FURNITURE and name not in AMBIGUOUS:
-                return name
-            if name in AMBIGUOUS and unsure is None and m[0][:2].lower() != "id":
-                unsure = name
-    return unsure
+        for whole in (m[1] or m[2] or m[3] or "").lower().split():
+            content = content or whole in CONTENT_NAMES
+            name = _furniture_name(whole)
+            if name in AMBIGUOUS:
+                if unsure is None and m[0][:2].lower() != "id":
+                    unsure = name
+            elif sure is None:
+                sure = name
+    return sure or unsure, content
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
     """(kind, name, text, furniture) in page order; kind is open, close, raw
-    or text."""
+    or text. The text of an open tag tells whether its names are of content."""
     at = 0
     for m in TOKEN.finditer(page):
         if m.start() > at:
@@ -92,8 +120,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
         if m[3]:
             yield "close", name, "", False
         else:
-            hint = furniture(m[5])
-            yield "open", f"{name}.{hint}" if hint else name, "", hint is not None
+            hint, content = names_of(m[5])
+            yield "open", f"{name}.{hint}" if hint else name, "content" if content else "", hint is not None
     if at < len(page):
         yield "text", "", page[at:], False
 
@@ -119,6 +147,8 @@ class Weights:
         """Whether an element is left out, by its name; an ambiguous one by its
         learned weight, else if no element that names the content is open."""
         base, _, hint = name.partition(".")
+        if (base == "header" or hint == "header") and base not in LEFT_OUT:  # of the site, or of the content
+            return not content and base not in CONTENT and base != "body"
         if hint not in AMBIGUOUS or base in LEFT_OUT:
             return base not in CONTENT and base != "body" and (named or base in LEFT_OUT)
         known = self.of.get(f"w <{name}")
@@ -160,25 +190,70 @@ def learn(pages: list[str]) -> Weights:
 
 
 def left_out(items: list[tuple[str, int, tuple[str, str, str, bool]]], weights: Weights) -> list[bool]:
-    """Of every token, whether it belongs to an element that is left out."""
-    stack: list[tuple[str, bool]] = []  # open elements; whether left out
-    out: list[bool] = []
-    for _, _, (kind, name, _, named) in items:
-        within = bool(stack and stack[-1][1])
+    """Of every token, whether it belongs to an element that is left out.
+
+    An element that is to be left out by its names stays if it holds the
+    content after all: if an ``article``, ``main`` or ``h1`` begins inside it
+    (in a header, or one left out by its tag other than a form, no ``h1``
+    counts), or, if it is left out by a class, id or role other than those of
+    comments, ``MOST`` of the words outside elements left out by their tag.
+    """
+    # elements in the order they open, each after the one around it; 0: the page
+    parent, names, words, holds, out = [0], [""], [0], [0], [False]
+    stack, opened, content, own = [0], {}, 0, []
+
+    def close() -> str:
+        nonlocal content
+        e = stack.pop()
+        base = names[e].partition(".")[0]
+        opened[base] -= 1
+        content -= inside[e]
+        words[parent[e]] += words[e]
+        holds[parent[e]] |= holds[e] | (2 if base in CONTENT else 1 if base == "h1" else 0)
+        return base
+
+    inside = [False]
+    for _, n, (kind, name, text, named) in items:
         base = name.partition(".")[0]
         if kind == "open":
-            if base in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and any(s[0] == base for s in stack[-3:]):
-                while stack.pop()[0] != base:
+            if base in SIBLINGS and any(names[e].partition(".")[0] == base for e in stack[-3:] if e):
+                while close() != base:
                     pass
-            within = bool(stack and stack[-1][1])
             if base not in VOID:
-                within = within or weights.outside(name, named, any(s[0] in CONTENT for s in stack) if named else False)
-                stack.append((base, within))
-        elif kind == "close" and any(s[0] == base for s in stack):
-            while stack.pop()[0] != base:
+                parent.append(stack[-1])
+                names.append(name)
+                words.append(0)
+                holds.append(0)
+                out.append(weights.outside(name, named, content > 0))
+                inside.append(base in CONTENT or text == "content")
+                content += inside[-1]
+                stack.append(len(names) - 1)
+                opened[base] = opened.get(base, 0) + 1
+            own.append(stack[-1])
+            continue
+        own.append(stack[-1])
+        if kind == "text":
+            words[stack[-1]] += n
+        elif kind == "close" and opened.get(base):
+            while close() != base:
                 pass
-        out.append(within)
-    return out
+    while len(stack) > 1:
+        close()
+    # words outside the elements left out by their tag
+    by_tag, there = [False], words[0]
+    for e in range(1, len(names)):
+        tag = out[e] and names[e].partition(".")[0] in LEFT_OUT
+        by_tag.append(by_tag[parent[e]] or tag)
+        if tag and not by_tag[parent[e]]:
+            there -= words[e]
+    for e in range(1, len(names)):
+        if out[e]:
+            base, _, hint = names[e].partition(".")
+            weak = base in LEFT_OUT - {"form", "fieldset", "label"} or "header" in (base, hint)
+            wrapper = holds[e] >= (2 if weak else 1) or (base not in LEFT_OUT and not weak and hint not in COMMENTS and words[e] > MOST * there)
+            out[e] = not wrapper
+        out[e] = out[e] or out[parent[e]]
+    return [out[e] for e in own]
 
 
 def region(items: list[tuple[str, int, tuple[str, str, str, bool]]], weights: Weights, left: list[bool] | None = None) -> tuple[int, int]:

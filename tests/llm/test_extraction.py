@@ -104,3 +104,59 @@ def test_query_and_edge_rows(spark, sf_small):
     got = extraction.extract(odd, keep=["page_id"]).collect()
     assert sorted(map(repr, got)) == sorted(["Row(page_id=None, text='', n_chars=0)", "Row(page_id=1, text='', n_chars=0)", "Row(page_id=2, text='some words here', n_chars=15)"] * 2)
     assert extraction.extract(odd.limit(0), keep=["page_id"]).collect() == []
+
+
+def both_weights():
+    given = "<body><header>Site name</header><nav><ul><li>Menu</ul></nav><article><h1>One title</h1><p>Some words of it.</article><div class=sidebar>Aside</div><div class=banner>Buy</div><footer>Nobody</footer></body>"
+    return extraction.Weights(), extraction.learn([given] * 10)
+
+
+def test_parts_of_class_names_lose_no_article():
+    body = "<h1>A long title</h1><p>Some words of the article itself, and some more of them.</p><p>Last words of it.</p>"
+    text = "A long title Some words of the article itself, and some more of them. Last words of it."
+    pages = [
+        f"<article><p class='ad-hoc'>{text}</p></article>",
+        f"<div class='has-sidebar content'>{body}</div>",
+        f"<div class='page page-with-nav'>{body}</div><footer>Nobody</footer>",
+        body.replace("<h1>", "<h1 class='banner-title'>"),
+        f"<div id=non-menu_page class='no-comments layout-sidebar-right'>{body}</div>",
+        f"<div class=sidebar><article>{body}</article></div>",  # a wrapper, whatever its name
+        f"<form action=x><nav>Menu words</nav>{body}</form>",
+        f"<div class='widget box'>{body}</div><div class='site-footer'>Nobody</div>",
+        f"<nav>Menu</nav><div class=banner><p>{text}</p></div>",  # nearly all words of the page
+    ]
+    for w in both_weights():
+        for page in pages:
+            assert extraction.main_text(f"<html><body>{page}</body></html>", w) == text, page
+
+
+def test_whole_names_and_compounds_are_left_out():
+    text = "Some words of the article itself, and some more of them. Last words of it."
+    out = ["<div class='x ad'>", "<div id=main-nav>", "<div class=site-footer>", "<ul class='menu_list'>", "<div class=cookie-notice>", "<div role=banner>", "<div class=ad_box-2>", "<div class='comment-list'>"]
+    for w in both_weights():
+        for tag in out:
+            name = tag[1:].split()[0]
+            page = f"<body><p>Some words of the article itself, and some more of them.</p>{tag}<p>Other words here</p></{name}><p>Last words of it.</p></body>"
+            assert extraction.main_text(page, w) == text, page
+        comments = f"<body><p>{text}</p><div class=comments>{'<p>I do not think so at all</p>' * 200}</div></body>"
+        assert extraction.main_text(comments, w) == text
+
+
+def test_headers_of_the_site_go_those_of_the_article_stay():
+    text = "A title Some words of the article itself, and some more of them."
+    body = "<p>Some words of the article itself, and some more of them.</p>"
+    for w in both_weights():
+        for header in ("<header>{}</header>", "<div class=header>{}</div>", "<div id=header>{}</div>", "<div class='site-header'>{}</div>"):
+            site = header.format("<h1>Site name</h1> <a>Log in</a>")
+            for page in (f"{site}<h1>A title</h1>{body}", f"{site}<article><h1>A title</h1>{body}</article>", f"{site}<article>{header.format('<h1>A title</h1>')}{body}</article>", f"{site}<div class=content>{header.format('<h1>A title</h1>')}{body}</div>"):
+                assert extraction.main_text(f"<body>{page}</body>", w) == text, page
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+
+    pages = ["<div>" * 20_000 + "</p>" * 20_000 + "some words", "<div class=ad>" * 20_000 + "words", "<p class=notice>" * 20_000 + "</div>" * 5000 + "words", "<div><b>" * 20_000 + "</i></b>" * 20_000]
+    for page in pages:
+        start = time.process_time()
+        extraction.main_text(page, extraction.Weights())
+        assert time.process_time() - start < 1.5
