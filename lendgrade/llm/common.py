@@ -103,11 +103,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     while before[0]:
         # large-star: every larger neighbour of u goes to u's least neighbour
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = landed(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), label)
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = landed(large.where("u != v").distinct(), label)
         # small-star: the smaller neighbours of u, and u, go to the least one
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = landed(large.groupBy("u").agg(F.min("v").alias("m")), label)
         moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         links = landed(moved.where("u != v").distinct(), label)
         after = _digest(links)

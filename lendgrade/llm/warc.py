@@ -175,6 +175,20 @@ def _bins(keys: DataFrame, shard_bytes: int):
     return low, splits, spark.createDataFrame(plan, "leaf bigint, first int, parts int"), shard + 1
 
 
+def keys_of(pages: DataFrame, key: str = "page_id", page: str = "html") -> DataFrame:
+    """(id, sha, bytes) of every page, landed."""
+    h = F.coalesce(F.col(f"`{page}`"), F.lit(""))
+    rows = pages.select(F.col(f"`{key}`").alias("id"), F.sha1(h.cast("binary")).alias("sha"), F.octet_length(h).cast("bigint").alias("bytes"))
+    return landed(rows, "warc-keys")
+
+
+def marked(keys: DataFrame) -> DataFrame:
+    """(id, sha, top): for every id and payload the id of its response."""
+    # landed, so that a payload that many pages share can be split in the join
+    tops = landed(keys.groupBy("sha").agg(F.max("id").alias("top")), "warc-tops")
+    return keys.join(tops, "sha").groupBy("id", "sha").agg(F.max("top").alias("top"))
+
+
 def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", page: str = "html", shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Archive every page under the shared folder ``out``; returns the
     manifest, read from its committed table."""
@@ -183,10 +197,9 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
     spark = pages.sparkSession
     bounded_batches(spark)
     h = F.coalesce(F.col(f"`{page}`"), F.lit(""))
-    rows = pages.select(F.col(f"`{key}`").alias("id"), F.col(f"`{url}`").alias("url"), h.alias("page"), F.sha1(h.cast("binary")).alias("sha"), F.octet_length(h).cast("bigint").alias("bytes"))
-    keys = landed(rows.select("id", "sha", "bytes"), "warc-keys")
-    tops = keys.groupBy("sha").agg(F.max("id").alias("top"))
-    marks = keys.join(tops, "sha").groupBy("id", "sha").agg(F.max("top").alias("top"))
+    rows = pages.select(F.col(f"`{key}`").alias("id"), F.col(f"`{url}`").alias("url"), h.alias("page"), F.sha1(h.cast("binary")).alias("sha"))
+    keys = keys_of(pages, key, page)
+    marks = marked(keys)
     # one shuffle deals a mark (the id to refer to) ahead of the pages it is for
     nothing = F.lit(None).cast("string")
     low, splits, bins, shards = _bins(keys, shard_bytes)
