@@ -331,35 +331,30 @@ def exclude_loans(spark, sf_dir):
 # -- catalog objects and the consolidated view ----------------------------------------
 
 def publish_catalog(spark: SparkSession, s: Stages) -> str:
-    """Write the cleaned and quarantined tables, register them as external
-    tables in a new database; returns the database name."""
-    root = fresh_dir(spark, "catalog")
+    """The cleaned and quarantined tables of one input as external tables of a
+    database; returns its name. Published once per input and application: the
+    stages that are written already are registered where they lie, the others
+    are written beside them."""
+    if s.database:
+        return s.database
     db = f"lendgrade_{uuid.uuid4().hex[:10]}"
     drop_at_exit(spark, db)  # with the scratch that its tables lie in
-    catalog.create_database(spark, db, f"{root}/{db}.db")
+    catalog.create_database(spark, db, f"{s.run_dir}/{db}.db")
     tables = {
-        "customers": s.customers,
-        "loans": s.loans,
-        "loans_repayments": s.repayments,
-        "loans_defaulters_delinq": s.delinq,
-        "loans_defaulters_detail_rec_enq": s.detail,
+        "customers": s.stored("customers"),
+        "loans": s.stored("loans"),
+        "loans_repayments": s.stored("repayments"),
+        "loans_defaulters_delinq": s.stored("delinq"),
+        "loans_defaulters_detail_rec_enq": s.stored("detail"),
+        "bad_customer_data_final": s.stored("bad"),
+        "customers_new": s.stored("customers_new"),
+        "loans_defaulters_delinq_new": s.stored("delinq_new"),
+        "loans_defaulters_detail_rec_enq_new": s.stored("detail_new"),
     }
-    for name, df in tables.items():
-        path = f"{root}/cleaned/{name}"
-        sinks.write_parquet(df, path)
-        catalog.register_external_table(spark, f"{db}.{name}", CATALOG_DDL[name], path)
-    # quarantine from the catalog tables, then the `_new` tables
-    cust, dl, dt = (spark.table(f"{db}.{n}") for n in ("customers", "loans_defaulters_delinq", "loans_defaulters_detail_rec_enq"))
-    bad = quarantine.quarantine(
-        quarantine.duplicate_members(cust), quarantine.duplicate_members(dl), quarantine.duplicate_members(dt)
-    )
-    sinks.write_parquet(bad, f"{root}/bad/bad_customer_data_final")
-    catalog.register_external_table(spark, f"{db}.bad_customer_data_final", "member_id string", f"{root}/bad/bad_customer_data_final")
-    bad = spark.table(f"{db}.bad_customer_data_final")
-    for name, src in (("customers", cust), ("loans_defaulters_delinq", dl), ("loans_defaulters_detail_rec_enq", dt)):
-        path = f"{root}/cleaned_new/{name}"
-        sinks.write_parquet(quarantine.exclude_members(src, bad), path)
-        catalog.register_external_table(spark, f"{db}.{name}_new", CATALOG_DDL[name], path)
+    for name, path in tables.items():
+        ddl = CATALOG_DDL.get(name.removesuffix("_new"), "member_id string")
+        catalog.register_external_table(spark, f"{db}.{name}", ddl, path)
+    s.database = db
     return db
 
 
@@ -383,10 +378,9 @@ def customer_loan_table(spark, sf_dir):
         t("loans_defaulters_detail_rec_enq_new"),
         t("bad_customer_data_final"),
     )
-    root = fresh_dir(spark, "customers_loan_t")
-    stored = catalog.materialise(spark, rel, f"{db}.customers_loan_t", f"{root}/parquet")
-    sinks.write_csv(stored, f"{root}/csv")
-    return stored
+    # a table of this call's own: another call's rows may still be read
+    name = f"customers_loan_t_{uuid.uuid4().hex[:10]}"
+    return catalog.materialise(spark, rel, f"{db}.{name}", fresh_dir(spark, name))
 
 
 def customer_loan_bucketed(spark, sf_dir, buckets: int = 8):

@@ -49,6 +49,9 @@ class Stages:
             materialize = SHARED
         self.materialize: tuple[str, ...] = tuple(materialize or ())
         self._run_dir = run_dir
+        self._stored: dict[str, str] = {}
+        #: The database that publishes these stages, if one does.
+        self.database: str | None = None
 
     @property
     def run_dir(self) -> str:
@@ -75,6 +78,17 @@ class Stages:
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def stored(self, name: str) -> str:
+        """The folder of a stage, written now if it is not."""
+        df = getattr(self, name)
+        if name in self.materialize:
+            return f"{self.run_dir}/{name}"
+        if name not in self._stored:
+            path = f"{self.run_dir}/stored/{name}"
+            df.write.mode("overwrite").parquet(path)
+            self._stored[name] = path
+        return self._stored[name]
+
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Stages":
         return cls(raw_applications(spark, sf_dir), **kw)

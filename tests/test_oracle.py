@@ -61,3 +61,19 @@ def test_entry_smoke(spark):
         "score_incomplete",
     ]
     assert df.count() == 1208
+
+
+def test_catalog_is_published_once_per_input(spark, sf_small):
+    import glob
+
+    from lendgrade.plans import queries
+    from lendgrade.plans.stages import Stages
+
+    s = Stages.shared(spark, sf_small)
+    view = queries.customer_loan_view(spark, sf_small)
+    root = s.run_dir.replace("file:", "")
+    before = sorted(glob.glob(f"{root}/**/*.parquet", recursive=True))
+    table, again = queries.customer_loan_table(spark, sf_small), queries.customer_loan_view(spark, sf_small)
+    assert sorted(glob.glob(f"{root}/**/*.parquet", recursive=True)) == before  # no second copy
+    assert view.count() == again.count() == table.count() == queries.customer_loan_relation(spark, sf_small).count()
+    assert queries.customer_loan_table(spark, sf_small).count() == table.count()
