@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lendgrade.llm import pivots, registry, topk
@@ -91,6 +92,39 @@ def test_recall_in_a_dense_group(spark):
     assert links.sum() > 20_000_000 and (got <= links).all() and got.sum() >= 0.999 * links.sum()
 
 
+@pytest.mark.parametrize("most", [64, 8])
+def test_recall_of_deeper_lists(spark, monkeypatch, most):
+    """Classes of more rows than the pivots give short lists for."""
+    monkeypatch.setattr(pivots, "MOST_PIVOTS", most)
+    rng = np.random.default_rng(10)
+    n, dim = 8000, 64
+    x = rng.normal(0, 1, (n, dim))
+    x[: n // 3] = x[0] / np.linalg.norm(x[0]) + rng.normal(0, 0.0154, (n // 3, dim))  # one dense group
+    for i in range(n // 3 + 1, n, 5):  # and many small ones
+        x[i] = x[i - 1] / np.linalg.norm(x[i - 1]) + rng.normal(0, 0.012, dim)
+    frame = spark.createDataFrame([(i, v, 1, 0, "c", 0) for i, v in enumerate(x.astype(np.float32).tolist())], DDL)
+    x = x.astype(np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    links = np.concatenate([(x[i : i + 500] @ x.T >= 0.98).sum(axis=1) - 1 for i in range(0, n, 500)])
+    got = pivots.near_duplicates(frame).toPandas().set_index("vec_id")["n_links"].sort_index().to_numpy()
+    small = np.arange(n) > n // 3
+    print("recall", most, got.sum() / links.sum(), got[small].sum() / links[small].sum())
+    assert (got <= links).all() and got.sum() >= 0.99 * links.sum() and got[small].sum() >= 0.95 * links[small].sum()
+
+
+def test_only_drawn_vectors_are_dealt_by_class(spark, sf_small, monkeypatch):
+    plans = []
+    land = pivots.landed
+    monkeypatch.setattr(pivots, "landed", lambda df, label: plans.append((label, df._jdf.queryExecution().executedPlan().toString())) or land(df, label))
+    pivots.near_duplicates(registry.table(spark, sf_small, "embeddings")).count()
+    plan = dict(plans)
+    # classes are counted on numbers, without a vector in sight
+    assert "array" not in plan["classes"] and "hashpartitioning(label" in plan["classes"]
+    # vectors are joined by number; what is dealt by class is drawn already
+    drawn = plan["pivots"]
+    assert drawn.index("collect_list") < drawn.index("Join [e#")
+
+
 def test_nearest_of_odd_vectors(spark):
     frame = odd_vectors(spark, np.random.default_rng(7))
     bits = {r.vec_id: tuple(x > 0 for x in r.embedding) for r in frame.collect() if r.vec_id is not None and r.embedding and all(x is not None and x == x for x in r.embedding)}
