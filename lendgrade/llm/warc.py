@@ -6,11 +6,13 @@ compressed size passes the limit. All headers and digests are made anew from
 the payload. Of records with equal payloads the one of the largest page id is
 the response; the others are revisits of it and carry no payload.
 
-Ranges are cut from exact byte counts of equal-width bins of the ids (65,536
-bins at a time), so shards, files and bytes depend on the rows alone, not on
-tasks or their order. A bin that holds more than two shards' worth is split
-into narrower ones; one of a single id that repeats (or of null ids) is dealt
-by payload digest, to as many shards as it needs.
+Ranges are cut from the exact number of bytes before each id, a running sum
+that Spark makes over ranges of ids, so shards, files and bytes depend on the
+rows alone, not on tasks or their order. An id that repeats beyond two shards'
+worth (or null ids) takes as many shards as it needs, by payload digest. Tasks
+write one shard each, or equally many neighbouring ones where there are more
+than ``GROUPS``: what the driver knows and sends is the first id of each such
+group, and the ids too large for one, never more than ``GROUPS`` of either.
 
 Committing: every task attempt writes files under names of its own and
 reports them; Spark's commit of that report picks one attempt per task. The
@@ -33,14 +35,18 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendgrade.llm.common import bounded_batches, landed
 from lendgrade.session import fresh_dir
 
-#: Uncompressed bytes of a shard, compressed bytes of a file, bins of the ids.
-SHARD_BYTES, FILE_BYTES, BINS = 16 << 20, 4 << 20, 65_536
+#: Uncompressed bytes of a shard, compressed bytes of a file, groups of shards.
+SHARD_BYTES, FILE_BYTES, GROUPS = 16 << 20, 4 << 20, 65_536
+#: Ids whose running sum one task makes.
+RANGE_IDS = 1 << 20
 LEVEL = 6
 DATE = "2000-01-01T00:00:00Z"  # fixed, so that equal input makes equal files
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -132,47 +138,40 @@ class _Files:
             self.sink = None
 
 
-def _placed(df: DataFrame, low: int | None, splits: list[DataFrame]) -> DataFrame:
-    """``df`` with ``start``, the least id of the range that its id lies in."""
-    df = df.withColumn("start", F.when(F.col("id").isNotNull(), F.lit(low).cast("bigint")))
-    for split in splits:
-        df = df.join(F.broadcast(split), "start", "left")
-        df = df.withColumn("start", F.expr("coalesce(start + ((id - start) div width) * width, start)")).drop("width")
-    return df
-
-
-def _bins(keys: DataFrame, shard_bytes: int):
-    """The least id, the tables (start, width) that split the ids into ranges,
-    the table (leaf, first, parts) of the shards of each range, and the number
-    of shards: ranges by exact byte counts, one that is too full split again,
-    parts over 1 where a single id (or none) is to be dealt by digest."""
+def places(keys: DataFrame, shard_bytes: int) -> DataFrame:
+    """(id, first, parts): the first shard of every id, landed, and how many it
+    is dealt to. Null ids come first; other ids begin in the shard that the
+    bytes before them reach."""
     spark = keys.sparkSession
-    low, high = keys.agg(F.min("id"), F.max("id")).first()
-    size = F.sum(F.col("bytes") + 512).alias("b")
-    leaves = [(r["id"], r["b"]) for r in keys.where("id IS NULL").groupBy("id").agg(size).collect()]
-    splits: list[DataFrame] = []
-    todo = {} if low is None else {low: high - low + 1}
-    while todo:
-        width = {start: -(-span // max(2, BINS // len(todo))) for start, span in todo.items()}
-        split = spark.createDataFrame(list(width.items()), "start bigint, width bigint")
-        inner = _placed(keys, low, splits).join(F.broadcast(split), "start")
-        child = F.expr("start + ((id - start) div width) * width").alias("child")
-        sized = inner.groupBy("width", child).agg(size).collect()  # about BINS rows at most
-        splits.append(split)
-        full = {r["child"]: r["width"] for r in sized if r["b"] > 2 * shard_bytes and r["width"] > 1}
-        leaves += [(r["child"], r["b"]) for r in sized if r["child"] not in full]
-        todo = full
-    plan, shard, filled = [], 0, 0
-    for start, b in sorted(leaves, key=lambda x: (x[0] is not None, x[0])):
-        parts = -(-b // shard_bytes) if b > 2 * shard_bytes else 1
-        if filled and (parts > 1 or filled + b > shard_bytes):
-            shard, filled = shard + 1, 0
-        plan.append((start, shard, int(parts)))
-        if parts > 1:
-            shard += int(parts)
-        else:
-            filled += b
-    return low, splits, spark.createDataFrame(plan, "leaf bigint, first int, parts int"), shard + 1
+    size = F.sum(F.col("bytes") + 512).cast("bigint").alias("b")
+    blank = keys.where("id IS NULL").agg(size).first()["b"] or 0
+    taken = -(-blank // shard_bytes)  # shards of the null ids
+    ids = keys.where("id IS NOT NULL").groupBy("id").agg(size)
+    ids = landed(ids, "warc-ids")
+    ranges = max(1, -(-ids.count() // RANGE_IDS))
+    ids = landed(ids.repartitionByRange(ranges, "id").withColumn("range", F.spark_partition_id()), "warc-ranges")
+    # one row per range of ids, so the window over all of them is small
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ids.groupBy("range").agg(F.sum("b").alias("all")).select("range", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("range").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("offset") + F.coalesce(F.sum("b").over(within), F.lit(0)) + taken * shard_bytes
+    first = F.expr(f"CAST(start div {shard_bytes} AS BIGINT)").alias("first")
+    parts = F.when(F.col("b") > 2 * shard_bytes, F.ceil(F.col("b") / shard_bytes)).otherwise(1).cast("bigint").alias("parts")
+    out = ids.join(landed(offsets, "warc-offsets"), "range").withColumn("start", start).select("id", first, parts)
+    if blank:
+        out = out.union(spark.createDataFrame([(None, 0, taken)], "id bigint, first bigint, parts bigint"))
+    return landed(out, "warc-places")
+
+
+def _groups(placed: DataFrame) -> tuple[int, int, list[int], list[int], DataFrame]:
+    """Number of groups, shards of a group, the first ids of the groups that begin with an id and
+    those groups, and the ids that are dealt over several groups."""
+    last = placed.agg(F.max(F.col("first") + F.col("parts"))).first()[0] or 1
+    each = -(-last // GROUPS)
+    starts = placed.where("id IS NOT NULL").groupBy(F.expr(f"first div {each}").alias("g")).agg(F.min("id").alias("id")).orderBy("id").collect()  # GROUPS rows at most
+    # an id of more than two groups' bytes has groups of its own: half as many at most
+    wide = placed.where(F.col("id").isNull() | (F.col("parts") > 2 * each))
+    return -(-last // each), each, [r["id"] for r in starts], [r["g"] for r in starts], wide
 
 
 def keys_of(pages: DataFrame, key: str = "page_id", page: str = "html") -> DataFrame:
@@ -200,23 +199,37 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
     rows = pages.select(F.col(f"`{key}`").alias("id"), F.col(f"`{url}`").alias("url"), h.alias("page"), F.sha1(h.cast("binary")).alias("sha"))
     keys = keys_of(pages, key, page)
     marks = marked(keys)
-    # one shuffle deals a mark (the id to refer to) ahead of the pages it is for
-    nothing = F.lit(None).cast("string")
-    low, splits, bins, shards = _bins(keys, shard_bytes)
-    both = marks.select("id", nothing.alias("url"), nothing.alias("page"), "sha", "top", F.lit(0).alias("kind")).union(rows.select("id", "url", "page", "sha", F.lit(None).cast("bigint"), F.lit(1)))
-    part = F.pmod(F.conv(F.substring("sha", 1, 6), 16, 10).cast("int"), F.col("parts"))
-    both = _placed(both, low, splits).join(F.broadcast(bins), F.col("start").eqNullSafe(F.col("leaf"))).withColumn("shard", F.col("first") + part)
-    both = both.repartition(shards, "shard").sortWithinPartitions("shard", "id", "sha", "kind", "url")
+    placed = places(keys, shard_bytes)
+    count, each, ids, groups, wide = _groups(placed)
+    ids_, groups_ = np.array(ids, dtype=np.int64), np.array(groups, dtype=np.int64)
+
+    @F.pandas_udf("bigint")
+    def group_of(id_: pd.Series) -> pd.Series:
+        at = np.searchsorted(ids_, id_.fillna(0).to_numpy(np.int64), side="right") - 1
+        return pd.Series(groups_[np.maximum(at, 0)])
+
+    # one shuffle deals a mark (the id to refer to, the shards of its own) ahead
+    # of the pages it is for
+    nothing, none = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    marks = marks.join(placed, marks["id"].eqNullSafe(placed["id"])).select(marks["id"], nothing.alias("url"), nothing.alias("page"), "sha", "top", "first", "parts", F.lit(0).alias("kind"))
+    both = marks.union(rows.select("id", "url", "page", "sha", none, none, none, F.lit(1)))
+    wide = F.broadcast(wide.select(F.col("id").alias("wide_id"), F.col("first").alias("wide_first"), F.col("parts").alias("wide_parts")))
+    both = both.join(wide, F.col("id").eqNullSafe(F.col("wide_id")) & F.col("wide_parts").isNotNull(), "left")
+    spread = F.expr(f"(wide_first + shiftright(CAST(conv(substring(sha, 1, 6), 16, 10) AS BIGINT) * wide_parts, 24)) div {each}")
+    both = both.withColumn("group", F.coalesce(spread, group_of("id")) if ids else spread)
+    both = both.repartition(count, "group").sortWithinPartitions("group", "id", "sha", "kind", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, last, top, copy = _Files(out, file_bytes), None, None, 0
+        files, last, top, copy, shard = _Files(out, file_bytes), None, None, 0, 0
         for batch in batches:
             for r in batch.to_pylist():
                 if r["kind"] == 0:
                     last, top, copy = (r["id"], r["sha"]), r["top"], 0
+                    # an id of several shards within one group does not leave it
+                    shard = min(r["first"] + (int(r["sha"][:6], 16) * r["parts"] >> 24), (r["group"] + 1) * each - 1)
                     continue
                 assert last == (r["id"], r["sha"])
-                files.add(r["shard"], page_record(r["id"], r["url"], r["page"].encode("utf-8", "surrogatepass"), r["sha"], copy, top))
+                files.add(shard, page_record(r["id"], r["url"], r["page"].encode("utf-8", "surrogatepass"), r["sha"], copy, top))
                 copy += 1
         files.close()
         if files.done:
@@ -225,7 +238,7 @@ def write(pages: DataFrame, out: str, key: str = "page_id", url: str = "url", pa
     fs, base = store(out)
     for d in ("temporary", "data"):
         fs.create_dir(f"{base}/{d}", recursive=True)
-    report = both.select("id", "url", "page", "sha", "top", "kind", "shard").mapInArrow(run, MANIFEST)
+    report = both.select("id", "url", "page", "sha", "top", "first", "parts", "kind", "group").mapInArrow(run, MANIFEST)
     report.write.parquet(f"{out}/report")
     report = spark.read.schema(report.schema).parquet(f"{out}/report")
 

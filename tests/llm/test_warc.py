@@ -102,3 +102,33 @@ def test_shards_are_ranges_beside_an_outlier(spark):
     assert sorted(x for s in held.values() for x in s) == ids and len(held) > 10
     ranges = [(min(s), max(s)) for _, s in sorted(held.items())]
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+@pytest.mark.parametrize("most", [65_536, 7, 1])
+def test_few_groups_of_many_shards(spark, monkeypatch, most):
+    """More shards than groups: ranges stay whole, sorted and the same for any
+    partitions; nothing that the driver holds passes the number of groups."""
+    monkeypatch.setattr(warc, "GROUPS", most)
+    monkeypatch.setattr(warc, "RANGE_IDS", 50)
+    rows = [(i, f"http://h/{i}", f"page {i} " * 40) for i in [*range(1000, 1300), 10**9, 10**15]]
+    rows += [(1100, "http://h/1100", f"copy {i} " * 60) for i in range(300)]  # an id of many shards
+    rows += [(1200, "http://h/1200", f"copy {i} " * 60) for i in range(30)]  # one of a few
+    rows += [(None, "http://h/", f"no id {i} " * 60) for i in range(100)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    seen = []
+    for parts in (1, 6):
+        out = fresh_dir(spark, "warc-test")
+        manifest = warc.write(pages.repartition(parts), out, shard_bytes=8000, file_bytes=3000).collect()
+        assert len({(r.shard, r.number) for r in manifest}) == len(manifest) and len({r.shard for r in manifest}) > 20
+        held = {}
+        for r in sorted(manifest):
+            raw = gzip.decompress(open(f"{out.removeprefix('file:')}/data/{r.name}", "rb").read())
+            held.setdefault(r.shard, []).extend(int(x or -1) for x in re.findall(rb"http://h/(\d*)", raw))
+        order = [i for _, shard in sorted(held.items()) for i in shard]
+        assert order == sorted(-1 if i is None else i for i, *_ in rows)  # sorted through all shards
+        seen.append(sorted((r.name, r.sha1) for r in manifest))
+        back = warc.read(spark, spark.read.parquet(f"{out}/manifest"), out).collect()
+        assert len(back) == len(rows) and sum(r.record_type == "revisit" for r in back) == 30
+    assert seen[0] == seen[1]
+    count, each, ids, groups, wide = warc._groups(warc.places(warc.keys_of(pages), 8000))
+    assert count <= most and len(ids) <= most and len(set(groups)) == len(groups) and wide.count() <= max(2, most)
