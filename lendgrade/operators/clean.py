@@ -48,7 +48,8 @@ CUSTOMER_RENAMES = {
     "annual_inc_joint": "join_annual_income",
 }
 
-# Columns without which a row is dropped, and the detail counters.
+# Columns without which a row is dropped (loans, repayments), and
+# the counters of the detail table.
 LOAN_REQUIRED = (
     "loan_amount",
     "funded_amount",

@@ -29,6 +29,12 @@ SHARED = ("keyed", "applications", "customers", "bad")
 _SHARED: dict[tuple[str, str, ScoreConfig], tuple[list, "Stages"]] = {}
 
 
+def forget_shared() -> None:
+    """The next query writes its shared stages anew (for timing them). Frames
+    over the old ones can still be read."""
+    _SHARED.clear()
+
+
 class Stages:
     """``materialize`` names the stages written as Parquet under the shared
     folder and read back (``True``: all of ``SHARED``)."""
