@@ -36,6 +36,8 @@ from lendgrade.llm.common import landed
 SEEDS = "adult ads bet bets betting casino gambling malware nude phishing pills poker porn sex slots spam track tracker tracking viagra warez xxx".split()
 #: Longest word of the lexicon, in letters; longer pieces stay unsplit.
 WORD_LETTERS = 24
+#: Letters of a label that are looked up at a time.
+RUN_LETTERS = 256
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -94,15 +96,21 @@ def split_labels(hosts: DataFrame, words: DataFrame) -> DataFrame:
 
     total = int(words.agg(F.coalesce(F.sum("n"), F.lit(1))).first()[0])
     labels = hosts.select(F.explode(F.split("host", r"[^\p{L}]+")).alias("label")).where("label != ''").distinct()
-    n = F.length("label")
-    spots = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(WORD_LETTERS), n - i + 1)), lambda k: F.substring(F.col("label"), i, k))))
-    parts = labels.select("label", F.explode(F.array_distinct(spots)).alias("word"))
-    own = parts.join(words, "word", "left").groupBy("label").agg(F.collect_list(F.struct("word", F.coalesce("n", F.lit(0)).alias("n"))).alias("own"))
+    labels = landed(labels.withColumn("no", F.monotonically_increasing_id()), "labels")
+    # a label is looked up in runs of bounded length, so its length bounds no row
+    last = F.floor((F.length("label") - 1) / RUN_LETTERS).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.col("label"), i * RUN_LETTERS + 1, F.lit(RUN_LETTERS + WORD_LETTERS - 1)))
+    runs = labels.select("no", F.explode(pieces).alias("run"))
+    n = F.length("run")
+    spots = F.flatten(F.transform(F.sequence(F.lit(1), F.least(n, F.lit(RUN_LETTERS))), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(WORD_LETTERS), n - i + 1)), lambda k: F.substring(F.col("run"), i, k))))
+    parts = runs.select("no", F.explode(F.array_distinct(spots)).alias("word"))
+    own = parts.join(words, "word").groupBy("no").agg(F.collect_set(F.struct("word", "n")).alias("own"))
+    own = labels.join(own, "no", "left").select("label", F.coalesce("own", F.array().cast("array<struct<word:string,n:bigint>>")).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, found = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            split = [segment(x, {w["word"]: w["n"] for w in own if w["n"]}, total) for x, own in zip(names, found)]
+            split = [segment(x, {w["word"]: w["n"] for w in own}, total) for x, own in zip(names, found)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(split, pa.list_(pa.string()))], names=["label", "words"])
 
     return own.mapInArrow(run, "label string, words array<string>")

@@ -2,6 +2,10 @@
 
 import itertools
 import math
+import re
+from collections import Counter
+
+import regex
 
 from lendgrade.llm import registry, urlfilter
 
@@ -66,6 +70,54 @@ def test_segmentation_against_all_splits():
     assert urlfilter.segment("freebets", counts, total) == ["free", "bets"] and urlfilter.segment("", counts, total) == []
 
 
+def plain_verdicts(rows, seeds):
+    """Naive Bayes verdicts of (url, html) rows, rules apart, written out: the
+    log-odds of every url."""
+    letters = regex.compile(r"\P{L}+")
+    places = [plain(url) for url, _ in rows]
+    hosts = Counter(h for h, _ in places)
+    words = Counter(w for _, page in rows for w in letters.split(re.sub(r"<[^>]*>", " ", page or "").lower()))
+    for host, n in hosts.items():
+        for label in host.split("."):
+            if "-" in label:
+                words.update({w: n * c for w, c in Counter(letters.split(label)).items()})
+    words.update(seeds)
+    words = {w: n for w, n in words.items() if 1 <= len(w) <= 24}
+    total = sum(words.values())
+    own = {h: [w for label in letters.split(h) if label for w in urlfilter.segment(label, words, total)] for h in hosts}
+    bad = {h for h in hosts if set(own[h]) & set(seeds)}
+    paths = [[w for w in letters.split(p.lower()) if w] for _, p in places]
+    seen = [Counter(), Counter()]
+    for (h, _), path in zip(places, paths):
+        seen[h in bad].update([f"h {w}" for w in own[h]] + [f"p {w}" for w in path])
+    kinds, sums = len(set(seen[0]) | set(seen[1])), [sum(c.values()) for c in seen]
+    flagged = sum(hosts[h] for h in bad)
+    base = math.log((flagged + 1) / (len(rows) - flagged + 1))
+
+    def weight(w):
+        return math.log((seen[1][w] + 1) / (sums[1] + kinds + 1)) - math.log((seen[0][w] + 1) / (sums[0] + kinds + 1))
+
+    return [base + sum(weight(f"h {w}") for w in own[h]) + sum(weight(f"p {w}") for w in path) for (h, _), path in zip(places, paths)], bad
+
+
+def test_every_verdict_is_that_of_plain_naive_bayes(spark, sf_small):
+    rows = [(r.url, r.html) for r in registry.table(spark, sf_small, "pages").collect()]
+    rows += [("http://m.casino-win.example.com/en/1", "<p>casino win</p>"), ("http://m.casino-win.example.com/en/1", None)] * 20
+    rows += [(f"http://{h}/en/{i}", "<p>some text</p>") for i, h in enumerate(("freecasino.example.org", "win-more.example.com", "winmore.example.com", "the-blog.example.org", "xcasinox.org", "lone-word.org"))]
+    rows += [("http://" + "wincasino" * 100 + ".org/x", None), ("http://example.org/", "casino bets adult"), (None, None), ("no url", "")]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id bigint, url string, html string")
+    got = {r.page_id: r for r in urlfilter.judge(frame, [], keep=["page_id"]).collect()}
+    want, bad = plain_verdicts(rows, urlfilter.SEEDS)
+    for i, score in enumerate(want):
+        assert abs(got[i].score - score) < 1e-9 and got[i].verdict == ("block" if score > 0 else "allow"), rows[i][0]
+    # verdicts beyond the seeds: a word met beside one in other hosts, written alone or together
+    verdict = {rows[i][0]: got[i].verdict for i in got}
+    for name in ("win-more", "winmore"):
+        (url,) = [u for u in verdict if u and f"//{name}." in u]
+        assert plain(url)[0] not in bad and verdict[url] == "block", name
+    assert all(verdict[u] == "allow" for u in verdict if u and ("the-blog" in u or "lone-word" in u))
+
+
 def test_query(spark, sf_small):
     rows = registry.op9_url_filter(spark, sf_small).collect()
     urls = {r.page_id: r.url for r in registry.table(spark, sf_small, "pages").collect()}
