@@ -37,6 +37,45 @@ def test_gradients_match_differences():
         assert abs((high - low) / (2 * step) - grads[k][at]) <= 0.05 * abs(grads[k][at]) + 1e-3, k
 
 
+def plain_probability(net, text):
+    """The forward pass window by window, written out."""
+    data = text.encode("utf-8", "replace")
+    size = quality.STEP * quality.HALF
+    halves = max(1, -(-(len(data) + quality.STEP) // size))
+    data = data.ljust(halves * size, b"\0")
+    tops, means = [], []
+    for i in range(halves):
+        acts = []
+        for k in range(quality.HALF):
+            at = i * size + k * quality.STEP
+            act = net.b.astype(float).copy()
+            for w, begin in ((net.w0, at), (net.w1, at + quality.STEP)):
+                for place, byte in enumerate(data[begin : begin + quality.STEP]):
+                    act += net.emb[byte].astype(float) @ w[place * quality.EMBED : (place + 1) * quality.EMBED]
+            acts.append(np.maximum(act, 0))
+        tops.append(np.max(acts, axis=0))
+        means.append(np.mean(acts, axis=0))
+    hidden = []
+    for i in range(halves):  # half chunks overlap pairwise; the last stands alone
+        j = min(i + 1, halves - 1)
+        x = np.concatenate([np.maximum(tops[i], tops[j]), (means[i] + means[j]) / 2])
+        hidden.append(np.maximum(x @ net.v + net.c, 0))
+    z = np.max(hidden, axis=0) @ net.u + net.d[0]
+    return 1 / (1 + np.exp(-(z * net.scale[0] + net.scale[1])))
+
+
+def test_forward_pass_against_plain_loops():
+    net = quality.ByteNet(np.random.default_rng(11))
+    net.scale = np.array([1.7, -0.3])
+    size = quality.STEP * quality.HALF
+    rng = np.random.default_rng(12)
+    letters = np.array(list("abcdefgh ÄÖé漢\n!0"))
+    texts = ["", "a", *["".join(rng.choice(letters[:9], n)) for n in (size - quality.STEP, size - quality.STEP + 1, size, size + 1, 3 * size + 5)], "".join(rng.choice(letters, 400))]
+    got = net.probabilities(texts)
+    for text, p in zip(texts, got):
+        assert abs(p - plain_probability(net, text)) < 1e-5, len(text)
+
+
 def test_whole_texts_count():
     net = quality.ByteNet(np.random.default_rng(0))
     text = "plain words " * 2000

@@ -74,3 +74,32 @@ def test_query_and_edge_rows(spark, sf_small, odd_docs, no_docs, own_labels):
     scored = toxicity.score(odd_docs, model, keep=["doc_id"]).collect()
     assert model is None and [r.score for r in scored] == [0.0] * 9
     assert toxicity.score(no_docs, model, keep=["doc_id"]).collect() == []
+
+
+def test_scores_and_spans_against_all_sequences():
+    """Marginals, the aggregate and the offending ranges of short texts, from
+    the weights of all tag sequences."""
+    import itertools
+
+    model = toxicity.Crf({"wbad": 5.0, "pwor": 2.0, "sords": 0.5}, -2.0, (0.4, 0.7, 3.0), np.array([1.2, 0.8, -0.1]))
+    up, down, stay = model.trans
+    for text in ("", "a clean one", "so bad words here", "Bad bad", "bad. fine words bad", "one two worse words, bad end"):
+        words = list(toxicity.WORD.finditer(text))
+        odds = [model.emission(w.group()) for w in words]
+        p = np.zeros(len(words))
+        total = 0.0
+        for tags in itertools.product((0, 1), repeat=len(words)):
+            weight = np.prod([o for o, t in zip(odds, tags) if t]) if words else 1.0
+            for a, b in zip(tags, tags[1:]):
+                weight *= {(0, 0): 1.0, (0, 1): up, (1, 0): down, (1, 1): stay}[a, b]
+            total += weight
+            p += weight * np.array(tags)
+        p /= total
+        top = min(max(max(p, default=0.0), 1e-9), 1 - 1e-9)
+        z = model.score[0] * np.log(top / (1 - top)) / 10 + model.score[1] * np.log(p.sum() + 1e-3) + model.score[2]
+        spans = []
+        for i, w in enumerate(words):
+            if p[i] >= 0.5:
+                spans = [*spans[:-1], (spans[-1][0], w.end())] if i and p[i - 1] >= 0.5 else [*spans, w.span()]
+        ((score, runs),) = toxicity.tag_texts(model, [text], toxicity._Known(model))
+        assert abs(score - 1 / (1 + np.exp(-z))) < 1e-6 and runs == spans, text

@@ -97,7 +97,7 @@ def test_recall_of_deeper_lists(spark, monkeypatch, most):
     """Classes of more rows than the pivots give short lists for."""
     monkeypatch.setattr(pivots, "MOST_PIVOTS", most)
     rng = np.random.default_rng(10)
-    n, dim = 8000, 64
+    n, dim = 5000, 64
     x = rng.normal(0, 1, (n, dim))
     x[: n // 3] = x[0] / np.linalg.norm(x[0]) + rng.normal(0, 0.0154, (n // 3, dim))  # one dense group
     for i in range(n // 3 + 1, n, 5):  # and many small ones

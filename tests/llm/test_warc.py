@@ -104,7 +104,7 @@ def test_shards_are_ranges_beside_an_outlier(spark):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
-@pytest.mark.parametrize("most", [65_536, 7, 1])
+@pytest.mark.parametrize("most", [65_536, 7])
 def test_few_groups_of_many_shards(spark, monkeypatch, most):
     """More shards than groups: ranges stay whole, sorted and the same for any
     partitions; nothing that the driver holds passes the number of groups."""
