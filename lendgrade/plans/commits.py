@@ -24,7 +24,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import delete_path, file_status, list_names, path_exists, read_text, write_text_atomically
+from ..session import delete_path, file_statuses, list_names, path_exists, read_text, write_text_atomically
 
 #: Folder of the markers, under the layout's root.
 FOLDER = "_commits"
@@ -33,10 +33,12 @@ FOLDER = "_commits"
 def input_state(df: DataFrame, *parameters) -> str | None:
     """A digest of a frame's files, of the plan above them and of parameters;
     None if it has no files."""
-    files = sorted(df.inputFiles())
+    files = df.inputFiles()
     if not files:
         return None
-    states = [file_status(df.sparkSession, f) for f in files]
+    states = file_statuses(df.sparkSession, files)
+    if len(states) != len(set(files)):
+        return None  # files that cannot be found by name: taken to be new
     plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
     return hashlib.sha256(json.dumps([states, plan, [str(p) for p in parameters]]).encode()).hexdigest()
 

@@ -6,6 +6,7 @@ import atexit
 import re
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -84,11 +85,20 @@ def file_state(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(found)
 
 
-def file_status(spark: SparkSession, path: str) -> list:
-    """Name, size and time of one file."""
-    fs, p = _hadoop_path(spark, path)
-    f = fs.getFileStatus(p)
-    return [f.getPath().toString(), f.getLen(), f.getModificationTime()]
+def file_statuses(spark: SparkSession, paths: list[str]) -> list[list]:
+    """Path, size and time of files, by one listing of each of their folders.
+    ``paths`` are URIs, as ``DataFrame.inputFiles`` gives them."""
+    wanted: dict[str, set[str]] = {}
+    for path in paths:
+        folder, _, name = unquote(path).rpartition("/")
+        wanted.setdefault(folder, set()).add(name)
+    found = []
+    for folder, names in wanted.items():
+        fs, p = _hadoop_path(spark, folder)
+        for f in fs.listStatus(p):
+            if f.getPath().getName() in names:
+                found.append([f.getPath().toString(), f.getLen(), f.getModificationTime()])
+    return sorted(found)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
