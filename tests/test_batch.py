@@ -208,3 +208,17 @@ def test_stage_with_missing_folders_is_written_again(spark, tmp_path):
     assert len({commits.open_run(spark, str(tmp_path), s, "x").id for s in ("t", None, None)} | {run.id}) == 4
     frame = spark.createDataFrame([(1,)], "x int")
     assert commits.input_state(frame) is None
+
+
+def test_batch_follows_the_record_policy(spark, sf_small, tmp_path):
+    from lendgrade.config import ScoreConfig
+
+    latest = ScoreConfig(record_policy="latest")
+    res = run_batch(spark, raw_applications(spark, sf_small), Layout(str(tmp_path)), latest, database="lg_latest", csv_copies=False)
+    want = Stages.shared(spark, sf_small, latest).loan_score
+    got = res.table(spark, "loan_score")
+    assert got.count() == want.count() > 1208 and got.exceptAll(want).count() == 0
+    # another policy over the same input is another run
+    again = run_batch(spark, raw_applications(spark, sf_small), Layout(str(tmp_path)), database="lg_latest", csv_copies=False)
+    assert again.skipped == [] and again.table(spark, "loan_score").count() == 1208
+    spark.sql("DROP DATABASE lg_latest CASCADE")
