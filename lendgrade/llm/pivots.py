@@ -4,20 +4,16 @@ Reference points (pivots) are drawn from the rows of each class of vectors
 (equal label and dimension), spread out: a row closer to a pivot than two links
 reach is none, so a dense group has few of them, however many rows it holds. A
 vector is described by its nearest pivots in order. Inverted lists hold, for
-every pivot, the vectors that have it among their ``order`` nearest ones; a
-vector asks the lists of its ``home`` nearest pivots for those that share at
-least ``shared`` pivots with it, or its nearest one, and true cosines are
-verified in double precision.
-
-A class of more rows than its pivots give short lists for has lists of pairs,
-or triples, of pivots: a vector is in those of its first few pivots and asks
-those of the nearest, so lists stay short while the class grows. Vectors close
-to one pivot are in a list of its own besides.
+every pair of pivots, the vectors that have both among their ``LISTED`` nearest
+ones; a vector asks the lists of the pairs of its ``home`` nearest pivots for
+those that share at least ``shared`` pivots with it, or its nearest one, and
+true cosines are verified in double precision. Vectors close to one pivot are
+in a list of its own besides. Classes of all sizes have the same lists.
 
 Equal vectors are one entry with a multiplicity. A list is dealt into blocks
 of bounded size, and each pair of blocks is one group of the shuffle, so a hot
-list is many tasks. A pair that meets in several lists counts in the one of
-the least pivot number only. Groups return, per vector, the number of rows
+list is many tasks. A pair that meets in several lists counts in one only: that
+of a single pivot, else the one of the least number. Groups return, per vector, the number of rows
 linked, and of the links a spanning forest: as many rows as the group has, not
 as many as its pairs.
 
@@ -43,15 +39,13 @@ from lendgrade.llm.common import components, landed
 ROWS_PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 48, 16, 1024
 #: Rows drawn for each pivot, to have enough of them that are spread out.
 DRAWN = 4
-#: Length of the descriptions, lists asked, pivots that candidates share.
-ORDER, HOME, SHARED = 8, 2, 3
+#: Length of the descriptions, nearest pivots whose pairs a vector asks, those
+#: whose pairs it is listed under, pivots that candidates share.
+ORDER, HOME, LISTED, SHARED = 8, 3, 5, 3
 #: Members of a list that one group of the shuffle holds on either side.
 BLOCK = 1024
 #: Cosine to the nearest pivot from which a vector is close to it.
 CLOSE = 0.8
-#: By depth, the pivots of one list key, the nearest pivots whose combinations
-#: a vector asks, and those whose combinations it is listed under.
-DEPTHS = {1: (1, HOME, ORDER), 2: (2, 3, 5), 3: (3, 4, 6)}
 
 
 def _entries(df: DataFrame, vector: str, label: str, key: str) -> DataFrame:
@@ -66,23 +60,19 @@ def _entries(df: DataFrame, vector: str, label: str, key: str) -> DataFrame:
     return rows.withColumn("v", F.when(F.col("sound"), F.transform(v, lambda x: x + 0.0)).cast(kind))
 
 
-def list_keys(near: np.ndarray, depth: int, close: np.ndarray, home: int = HOME, order: int = ORDER) -> tuple[np.ndarray, int]:
+def list_keys(near: np.ndarray, close: np.ndarray, home: int = HOME, listed: int = LISTED) -> tuple[np.ndarray, int]:
     """The lists of each vector, those it asks first, and how many these are:
-    combinations of its nearest pivots, whatever their order. Where lists are
-    of several pivots, vectors ``close`` to one pivot are in its own list as
-    well: their other pivots are far, and hardly in one order. -1 is no list."""
-    size, asks, listed = DEPTHS[depth] if depth > 1 else (1, home, order)
-    spots = sorted(combinations(range(min(listed, near.shape[1])), size), key=lambda c: (c[-1], c))
-    some = np.sort(near[:, np.array(spots)], axis=2).astype(np.int64)
+    that of its nearest pivot alone, if it is ``close`` to it (else -1, which is
+    no list), as its other pivots are far then and hardly in one order; and those
+    of the pairs of its nearest pivots, whatever their order. Where there is one
+    pivot only, all are in its list."""
     base = MOST_PIVOTS + 1
-    keys = some[:, :, 0]
-    for i in range(1, size):
-        keys = keys * base + some[:, :, i]
-    asked = sum(c[-1] < asks for c in spots)
-    if depth == 1:
-        return keys, asked
-    own = np.where(close, near[:, 0] + base**3, -1)
-    return np.column_stack([own, keys]), asked + 1
+    if near.shape[1] < 2:
+        return near[:, :1].astype(np.int64) + base**2, 1
+    spots = sorted(combinations(range(min(listed, near.shape[1])), 2), key=lambda c: (c[-1], c))
+    pairs = np.sort(near[:, np.array(spots)], axis=2).astype(np.int64)
+    own = np.where(close, near[:, 0] + base**2, -1)
+    return np.column_stack([own, pairs[:, :, 0] * base + pairs[:, :, 1]]), 1 + sum(c[-1] < home for c in spots)
 
 
 def spread_out(drawn: np.ndarray, least: float, most: int) -> np.ndarray:
@@ -121,26 +111,23 @@ def near_duplicates(
     classes = numbered.groupBy("label", "dim").agg(F.count("*").alias("n"), F.min(F.struct("o", "e")).getField("e").alias("one"))
     n = F.col("n")
     pivots_wanted = F.least(F.lit(MOST_PIVOTS), F.greatest(F.lit(LEAST_PIVOTS), F.ceil(n / ROWS_PER_PIVOT))).cast("int")
-    # deeper lists where the pivots give too few: about 16 pairs a pivot, and so on
-    short = ROWS_PER_PIVOT * MOST_PIVOTS
-    depth = F.when(n <= short, 1).when(n <= 16 * short, 2).otherwise(3)
-    classes = landed(classes.withColumn("p", pivots_wanted).withColumn("depth", depth), "classes")
+    classes = landed(classes.withColumn("p", pivots_wanted), "classes")
     # pivots: p entries of each class, spread out, of DRAWN times as many by a
     # hash threshold; found by number, so that only the drawn vectors are dealt by class
     share = F.lit(float(2**31)) * F.least(F.lit(1.0), DRAWN * F.col("p") / n)
     # the entry of least hash is one always, so no class is without
     some = numbered.join(classes, ["label", "dim"]).where((F.col("o") < share) | (F.col("e") == F.col("one")))
-    drawn = sound.select("e", "v").join(some.select("e", "o", "label", "dim", "p", "depth"), "e")
-    drawn = drawn.groupBy("label", "dim").agg(F.first("p").alias("p"), F.first("depth").alias("depth"), F.sort_array(F.collect_list(F.struct("o", "v"))).alias("drawn"))
-    drawn = drawn.select("label", "dim", "p", "depth", F.col("drawn.v").alias("drawn"))
+    drawn = sound.select("e", "v").join(some.select("e", "o", "label", "dim", "p"), "e")
+    drawn = drawn.groupBy("label", "dim").agg(F.first("p").alias("p"), F.sort_array(F.collect_list(F.struct("o", "v"))).alias("drawn"))
+    drawn = drawn.select("label", "dim", "p", F.col("drawn.v").alias("drawn"))
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             some = [spread_out(np.array([list(r) for r in d], dtype=np.float64), least, p).tolist() for d, p in zip(batch["drawn"], batch["p"])]
-            yield pd.DataFrame({"label": batch["label"], "dim": batch["dim"], "depth": batch["depth"], "pivots": some})
+            yield pd.DataFrame({"label": batch["label"], "dim": batch["dim"], "pivots": some})
 
     kinds = dict(sound.dtypes)
-    pivots = landed(drawn.mapInPandas(choose, f"label {kinds['label']}, dim int, depth int, pivots array<array<double>>"), "pivots")
+    pivots = landed(drawn.mapInPandas(choose, f"label {kinds['label']}, dim int, pivots array<array<double>>"), "pivots")
 
     described = sound.withColumn("dim", F.size("v")).withColumn("part", F.pmod(F.xxhash64("e"), F.lit(max(1, sound.count() // 4096))).cast("int"))
 
@@ -149,20 +136,19 @@ def near_duplicates(
             return pd.DataFrame({c: [] for c in ("e", "near", "keys", "asks", "label", "v", "copies")})
         x = np.array(batch["v"].tolist(), dtype=np.float64)
         x /= np.linalg.norm(x, axis=1)[:, None]
-        near, deep, close = np.zeros((len(x), 1), dtype=np.int64), 1, np.ones(len(x), dtype=bool)
+        near, close = np.zeros((len(x), 1), dtype=np.int64), np.ones(len(x), dtype=bool)
         if len(own):
-            deep = int(own["depth"].iloc[0])
             p = np.array([list(r) for r in own["pivots"].iloc[0]], dtype=np.float64)
             p /= np.linalg.norm(p, axis=1)[:, None]
             cosine = x @ p.T
             near = np.argsort(-cosine, axis=1, kind="stable")[:, :order]
             close = cosine.max(axis=1) >= CLOSE
-        keys, asks = list_keys(near, deep, close, home, order)
+        keys, asks = list_keys(near, close, home)
         return pd.DataFrame({"e": batch["e"], "near": list(near), "keys": list(keys), "asks": asks, "label": batch["label"], "v": batch["v"], "copies": batch["copies"]})
 
     # the pivots of a class go to each of its parts: bounded by MOST_PIVOTS vectors a task
     parts = described.select(F.col("label").alias("l"), F.col("dim").alias("d"), F.col("part").alias("p")).distinct()
-    parts = parts.join(pivots, (F.col("l").eqNullSafe(F.col("label"))) & (F.col("d") == F.col("dim"))).select("l", "d", "p", "depth", "pivots")
+    parts = parts.join(pivots, (F.col("l").eqNullSafe(F.col("label"))) & (F.col("d") == F.col("dim"))).select("l", "d", "p", "pivots")
     by = ["label", "dim", "part"]
     schema = f"e bigint, near array<int>, keys array<bigint>, asks int, label {kinds['label']}, v {kinds['v']}, copies bigint"
     orders = described.select(*by, "e", "v", "copies").groupBy(*by).cogroup(parts.groupBy("l", "d", "p")).applyInPandas(describe, schema)
@@ -176,6 +162,8 @@ def near_duplicates(
     base = [F.col(c) for c in ("e", "near", "keys", "asks", "v", "copies", "at", "label", "dim", "pivot", "block")]
     sides = posts.select(*base, other).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
 
+    single = (MOST_PIVOTS + 1) ** 2
+
     def verify(key_: tuple, group: pd.DataFrame) -> pd.DataFrame:
         pivot, lo, hi = key_[2], key_[3], key_[4]
         x = np.array(group["v"].tolist(), dtype=np.float64)
@@ -183,6 +171,7 @@ def near_duplicates(
         near, keys, asks = np.array(group["near"].tolist()), np.array(group["keys"].tolist()), int(group["asks"].iloc[0])
         e, copies = group["e"].to_numpy(), group["copies"].to_numpy()
         at_home, block = group["at"].to_numpy() < asks, group["block"].to_numpy()
+        own, alone = keys[:, 0], pivot >= single
         least_shared = min(shared, near.shape[1])  # a small class has few pivots
         links = np.zeros(len(x), dtype=np.int64)
         forest: list[tuple[int, int]] = []
@@ -203,19 +192,21 @@ def near_duplicates(
             close = x[i] @ x[others].T >= least
             close &= at_home[i][:, None] | at_home[others][None, :]
             close &= others[None, :] > i[:, None] if lo == hi else True
+            if not alone:  # pairs that are in one list of a single pivot count there
+                close &= (own[i][:, None] != own[others][None, :]) | (own[i][:, None] < 0)
             a, b = np.nonzero(close)
             a, b = i[a], others[b]
             if not len(a):
                 continue
-            equal = near[a][:, :, None] == near[b][:, None, :]
-            ok = (equal.sum(axis=(1, 2)) >= least_shared) | equal[:, 0, 0]
-            # the pair counts in the list of the least key where it meets
-            equal = keys[a][:, :, None] == keys[b][:, None, :]
-            equal[:, asks:, asks:] = False
-            equal &= keys[a][:, :, None] >= 0
-            meet = np.where(equal.any(axis=2), keys[a], pivot).min(axis=1)
-            mine = ok & (meet == pivot)
-            a, b = a[mine], b[mine]
+            if not alone:
+                equal = near[a][:, :, None] == near[b][:, None, :]
+                ok = (equal.sum(axis=(1, 2)) >= least_shared) | equal[:, 0, 0]
+                # others count in the list of the least key where they meet
+                equal = keys[a][:, 1:, None] == keys[b][:, None, 1:]
+                equal[:, asks - 1 :, asks - 1 :] = False
+                meet = np.where(equal.any(axis=2), keys[a][:, 1:], pivot).min(axis=1)
+                mine = ok & (meet == pivot)
+                a, b = a[mine], b[mine]
             np.add.at(links, a, copies[b])
             np.add.at(links, b, copies[a])
             while (root[root] != root).any():

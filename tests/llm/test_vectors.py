@@ -112,6 +112,23 @@ def test_recall_of_deeper_lists(spark, monkeypatch, most):
     assert (got <= links).all() and got.sum() >= 0.99 * links.sum() and got[small].sum() >= 0.95 * links[small].sum()
 
 
+def test_classes_of_all_sizes_have_the_same_lists(spark, monkeypatch):
+    monkeypatch.setattr(pivots, "MOST_PIVOTS", 8)
+    kept = {}
+    land = pivots.landed
+    monkeypatch.setattr(pivots, "landed", lambda df, label: kept.setdefault(label, land(df, label)))
+    rng = np.random.default_rng(11)
+    sizes = {0: 100, 1: 500, 2: 7000}  # to 384 rows, to 6,144 and beyond
+    rows = [(v, label) for label, n in sizes.items() for v in rng.normal(0, 1, (n, 16)).tolist()]
+    frame = spark.createDataFrame([(i, v, label, 0, "c", 0) for i, (v, label) in enumerate(rows)], DDL)
+    assert pivots.near_duplicates(frame).count() == len(rows)
+    lists = kept["orders"].selectExpr("label", "size(keys) AS n", "asks").distinct().collect()
+    assert len(lists) == 3 and len({(r.n, r.asks) for r in lists}) == 1
+    # one pivot: one list of all
+    keys, asks = pivots.list_keys(np.zeros((4, 1), dtype=np.int64), np.array([True, False, True, False]))
+    assert asks == 1 and len(set(keys[:, 0].tolist())) == 1 and keys.shape == (4, 1)
+
+
 def test_only_drawn_vectors_are_dealt_by_class(spark, sf_small, monkeypatch):
     plans = []
     land = pivots.landed
