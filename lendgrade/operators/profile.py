@@ -155,16 +155,18 @@ def distinct_counts(histogram: DataFrame, *also: str) -> DataFrame:
     )
 
 
-def column_sketches(df: DataFrame, tables: Tables, lg_registers: int = LG_REGISTERS, items: int = ITEMS) -> DataFrame:
+def column_sketches(df: DataFrame, tables: Tables, lg_registers: int = LG_REGISTERS, items: int = ITEMS, by: Column | None = None) -> DataFrame:
     """table_name, column_name, row_count, values (HLL), top (frequent items):
-    one row of bounded size per column, from one scan."""
+    one row of bounded size per column, from one scan; with ``by``, one for each
+    of its values, of which there should be few."""
     used = _sources(tables)
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for i, src in enumerate(used):
         aggs.append(F.expr(f"hll_sketch_agg(CAST(`{src}` AS STRING), {lg_registers})").alias(f"v{i}"))
         aggs.append(F.expr(f"approx_top_k_accumulate(CAST(`{src}` AS STRING), {items})").alias(f"t{i}"))
     rows = F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"v{i}").alias("values"), F.col(f"t{i}").alias("top")) for i in range(len(used))])
-    long = df.agg(*aggs).select("row_count", F.explode(rows).alias("p"))
+    groups = df.groupBy(*([] if by is None else [by.alias("__part")]))
+    long = groups.agg(*aggs).select("row_count", F.explode(rows).alias("p"))
     return long.select("row_count", "p.values", "p.top", _named(tables, F.col("p.at")).alias("n")).select("n.table_name", "n.column_name", "row_count", "values", "top")
 
 
