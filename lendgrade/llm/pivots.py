@@ -13,9 +13,9 @@ in a list of its own besides. Classes of all sizes have the same lists.
 Equal vectors are one entry with a multiplicity. A list is dealt into blocks
 of bounded size, and each pair of blocks is one group of the shuffle, so a hot
 list is many tasks. A pair that meets in several lists counts in one only: that
-of a single pivot, else the one of the least number. Groups return, per vector, the number of rows
-linked, and of the links a spanning forest: as many rows as the group has, not
-as many as its pairs.
+of a single pivot, else the one of the least number. Groups return, per vector,
+the number of rows linked, and of the links a spanning forest: as many rows as
+the group has, not as many as its pairs.
 
 Results at the edges: vectors that are null or empty, have length zero, or
 hold null or non-finite components, and rows whose label is null, link with
