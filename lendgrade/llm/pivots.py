@@ -75,6 +75,11 @@ def list_keys(near: np.ndarray, close: np.ndarray, home: int = HOME, listed: int
     return np.column_stack([own, pairs[:, :, 0] * base + pairs[:, :, 1]]), 1 + sum(c[-1] < home for c in spots)
 
 
+def is_single(number: int) -> bool:
+    """Whether a list (``list_keys``) is that of a single pivot."""
+    return number >= (MOST_PIVOTS + 1) ** 2
+
+
 def spread_out(drawn: np.ndarray, least: float, most: int) -> np.ndarray:
     """Of ``drawn`` vectors, in order, the first ``most`` that are further from
     each other than two links reach (twice the angle of ``least``)."""
@@ -162,8 +167,6 @@ def near_duplicates(
     base = [F.col(c) for c in ("e", "near", "keys", "asks", "v", "copies", "at", "label", "dim", "pivot", "block")]
     sides = posts.select(*base, other).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
 
-    single = (MOST_PIVOTS + 1) ** 2
-
     def verify(key_: tuple, group: pd.DataFrame) -> pd.DataFrame:
         pivot, lo, hi = key_[2], key_[3], key_[4]
         x = np.array(group["v"].tolist(), dtype=np.float64)
@@ -171,7 +174,7 @@ def near_duplicates(
         near, keys, asks = np.array(group["near"].tolist()), np.array(group["keys"].tolist()), int(group["asks"].iloc[0])
         e, copies = group["e"].to_numpy(), group["copies"].to_numpy()
         at_home, block = group["at"].to_numpy() < asks, group["block"].to_numpy()
-        own, alone = keys[:, 0], pivot >= single
+        own, alone = keys[:, 0], is_single(pivot)
         least_shared = min(shared, near.shape[1])  # a small class has few pivots
         links = np.zeros(len(x), dtype=np.int64)
         forest: list[tuple[int, int]] = []
