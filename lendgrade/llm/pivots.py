@@ -11,8 +11,9 @@ true cosines are verified in double precision. Vectors close to one pivot are
 in a list of its own besides. Classes of all sizes have the same lists.
 
 Equal vectors are one entry with a multiplicity. A list is dealt into blocks
-of bounded size, and each pair of blocks is one group of the shuffle, so a hot
-list is many tasks. A pair that meets in several lists counts in one only: that
+of bounded size, and pairs of blocks are dealt by hash into groups of the
+shuffle: a hot list is many tasks, and many short lists are one group, as lists
+outnumber what a group each would cost. A pair that meets in several lists counts in one only: that
 of a single pivot, else the one of the least number. Groups return, per vector,
 the number of rows linked, and of the links a spanning forest: as many rows as
 the group has, not as many as its pairs.
@@ -28,12 +29,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from typing import TYPE_CHECKING
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendgrade.llm.common import components, landed
+from lendgrade.llm.common import components, landed, matrix
+
+if TYPE_CHECKING:
+    import pyarrow as pa
 
 #: Rows per pivot, and the bounds of the pivots of a class.
 ROWS_PER_PIVOT, LEAST_PIVOTS, MOST_PIVOTS = 48, 16, 1024
@@ -42,8 +47,11 @@ DRAWN = 4
 #: Length of the descriptions, nearest pivots whose pairs a vector asks, those
 #: whose pairs it is listed under, pivots that candidates share.
 ORDER, HOME, LISTED, SHARED = 8, 3, 5, 3
-#: Members of a list that one group of the shuffle holds on either side.
+#: Members of a list that are compared with as many others at once.
 BLOCK = 1024
+#: Numbers in the vectors of one group of the shuffle, which holds many lists,
+#: and pairs of them counted at once.
+GROUP, PAIRS = 1 << 20, 1 << 16
 #: Cosine to the nearest pivot from which a vector is close to it.
 CLOSE = 0.8
 
@@ -75,7 +83,7 @@ def list_keys(near: np.ndarray, close: np.ndarray, home: int = HOME, listed: int
     return np.column_stack([own, pairs[:, :, 0] * base + pairs[:, :, 1]]), 1 + sum(c[-1] < home for c in spots)
 
 
-def is_single(number: int) -> bool:
+def is_single(number: int | np.ndarray) -> bool | np.ndarray:
     """Whether a list (``list_keys``) is that of a single pivot."""
     return number >= (MOST_PIVOTS + 1) ** 2
 
@@ -93,6 +101,93 @@ def spread_out(drawn: np.ndarray, least: float, most: int) -> np.ndarray:
     return drawn[some]
 
 
+def spanning(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the links ``a`` to ``b`` join trees of ``root``, which gets them."""
+    some = []
+    at, pick = np.arange(len(a)), np.empty(len(root), dtype=np.int64)
+    while True:
+        while (root[root] != root).any():
+            root[:] = root[root]
+        apart = root[a[at]] != root[b[at]]
+        at = at[apart]
+        if not len(at):
+            return np.concatenate([np.zeros(0, dtype=np.int64), *some])
+        # each tree takes one link to a tree of lesser root, so no circle closes
+        hi, lo = np.maximum(root[a[at]], root[b[at]]), np.minimum(root[a[at]], root[b[at]])
+        pick[hi] = np.arange(len(at))
+        one = pick[hi] == np.arange(len(at))
+        root[hi[one]] = lo[one]
+        some.append(at[one])
+
+
+def linked(group: pa.Table, least: float, home: int, shared: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The links that count in the lists of ``group``, which holds both blocks of
+    every pair of blocks whole: (entry, itself, number of rows linked), and
+    (entry, entry, 0) for those of a spanning forest."""
+    col = {c: group[c].to_numpy() for c in ("e", "copies", "close", "asking", "class", "pivot", "block", "lo", "hi")}
+    # pairs of blocks one after the other, their lower block first, in a block those who ask first
+    order = np.lexsort((~col["asking"], col["block"], col["hi"], col["lo"], col["pivot"], col["class"]))
+    col = {c: v[order] for c, v in col.items()}
+    x = matrix(group["v"], np.float64)[order]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = matrix(group["near"])[order]
+    keys, asks = list_keys(near, col["close"], home)
+    own, pivot, copies, alone = keys[:, 0], col["pivot"], col["copies"], is_single(col["pivot"])
+    least_shared = min(shared, near.shape[1])  # a small class has few pivots
+    entries, at = np.unique(col["e"], return_inverse=True)
+    links, root = np.zeros(len(entries), dtype=np.int64), np.arange(len(entries))
+    forest = [np.zeros((0, 2), dtype=np.int64)]
+
+    def count(a: np.ndarray, b: np.ndarray) -> None:
+        # pairs that are in one list of a single pivot count there
+        mine = (a < b) & (alone[a] | (own[a] != own[b]) | (own[a] < 0))
+        a, b = a[mine], b[mine]
+        if (rest := ~alone[a]).any():
+            c, d = a[rest], b[rest]
+            equal = near[c][:, :, None] == near[d][:, None, :]
+            ok = (equal.sum(axis=(1, 2)) >= least_shared) | equal[:, 0, 0]
+            # others count in the list of the least key where they meet
+            equal = keys[c][:, 1:, None] == keys[d][:, None, 1:]
+            equal[:, asks - 1 :, asks - 1 :] = False
+            meet = np.where(equal.any(axis=2), keys[c][:, 1:], pivot[c][:, None]).min(axis=1)
+            mine = ~rest
+            mine[rest] = ok & (meet == pivot[c])
+            a, b = a[mine], b[mine]
+        u, v = at[a], at[b]
+        np.add.at(links, u, copies[b])
+        np.add.at(links, v, copies[a])
+        some = spanning(root, u, v)
+        forest.append(np.column_stack([u[some], v[some]]))
+
+    # of two rows that do not ask, neither asks this list
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = np.any([col[c][1:] != col[c][:-1] for c in ("class", "pivot", "lo", "hi")], axis=0)
+    start = np.flatnonzero(new)
+    end = np.append(start[1:], len(x))
+    same = col["lo"][start] == col["hi"][start]
+    low = col["block"] == col["lo"]
+    middle = np.where(same, start, start + np.add.reduceat(low, start, dtype=np.int64))
+    asked = start + np.add.reduceat(col["asking"] & low, start, dtype=np.int64)
+    asked_too = np.where(same, middle, middle + np.add.reduceat(col["asking"] & ~low, start, dtype=np.int64))
+    boxes = np.concatenate([np.column_stack([start, asked, middle, end]), np.column_stack([asked, middle, middle, asked_too])])
+    boxes = boxes[(boxes[:, 0] < boxes[:, 1]) & (boxes[:, 2] < boxes[:, 3])]
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for k, (i, j, m, n) in enumerate(boxes.tolist(), 1):
+        a, b = np.nonzero(x[i:j] @ x[m:n].T >= least)
+        if len(a):
+            pairs.append((a + i, b + m))
+            size += len(a)
+        if size and (size > PAIRS or k == len(boxes)):
+            a, b = (np.concatenate(p) for p in zip(*pairs))
+            for s in range(0, size, PAIRS):
+                count(a[s : s + PAIRS], b[s : s + PAIRS])
+            pairs, size = [], 0
+    full = np.flatnonzero(links)
+    tree = entries[np.concatenate(forest)]
+    return np.append(entries[full], tree[:, 0]), np.append(entries[full], tree[:, 1]), np.append(links[full], np.zeros(len(tree), dtype=np.int64))
+
+
 def near_duplicates(
     df: DataFrame,
     least: float = 0.98,
@@ -105,8 +200,8 @@ def near_duplicates(
 ) -> DataFrame:
     """``key``, n_links, component_id, kept for every row of ``df``."""
     import pandas as pd
+    import pyarrow as pa
 
-    spark = df.sparkSession
     rows = landed(_entries(df, vector, label, key), "vectors")
     sound = rows.where("sound").groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     # entries are numbered as they are written, since ids may be null or repeat
@@ -116,117 +211,71 @@ def near_duplicates(
     classes = numbered.groupBy("label", "dim").agg(F.count("*").alias("n"), F.min(F.struct("o", "e")).getField("e").alias("one"))
     n = F.col("n")
     pivots_wanted = F.least(F.lit(MOST_PIVOTS), F.greatest(F.lit(LEAST_PIVOTS), F.ceil(n / ROWS_PER_PIVOT))).cast("int")
-    classes = landed(classes.withColumn("p", pivots_wanted), "classes")
+    classes = landed(classes.withColumn("p", pivots_wanted).withColumn("class", F.monotonically_increasing_id()), "classes")
     # pivots: p entries of each class, spread out, of DRAWN times as many by a
     # hash threshold; found by number, so that only the drawn vectors are dealt by class
     share = F.lit(float(2**31)) * F.least(F.lit(1.0), DRAWN * F.col("p") / n)
     # the entry of least hash is one always, so no class is without
     some = numbered.join(classes, ["label", "dim"]).where((F.col("o") < share) | (F.col("e") == F.col("one")))
-    drawn = sound.select("e", "v").join(some.select("e", "o", "label", "dim", "p"), "e")
-    drawn = drawn.groupBy("label", "dim").agg(F.first("p").alias("p"), F.sort_array(F.collect_list(F.struct("o", "v"))).alias("drawn"))
-    drawn = drawn.select("label", "dim", "p", F.col("drawn.v").alias("drawn"))
+    drawn = sound.select("e", "v").join(some.select("e", "o", "label", "dim", "p", "class"), "e")
+    drawn = drawn.groupBy("label", "dim", "class").agg(F.first("p").alias("p"), F.sort_array(F.collect_list(F.struct("o", "v"))).alias("drawn"))
+    drawn = drawn.select("label", "dim", "class", "p", F.col("drawn.v").alias("drawn"))
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             some = [spread_out(np.array([list(r) for r in d], dtype=np.float64), least, p).tolist() for d, p in zip(batch["drawn"], batch["p"])]
-            yield pd.DataFrame({"label": batch["label"], "dim": batch["dim"], "pivots": some})
+            yield pd.DataFrame({"label": batch["label"], "dim": batch["dim"], "class": batch["class"], "pivots": some})
 
     kinds = dict(sound.dtypes)
-    pivots = landed(drawn.mapInPandas(choose, f"label {kinds['label']}, dim int, pivots array<array<double>>"), "pivots")
+    pivots = landed(drawn.mapInPandas(choose, f"label {kinds['label']}, dim int, class bigint, pivots array<array<double>>"), "pivots")
 
     described = sound.withColumn("dim", F.size("v")).withColumn("part", F.pmod(F.xxhash64("e"), F.lit(max(1, sound.count() // 4096))).cast("int"))
 
     def describe(batch: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(batch):
-            return pd.DataFrame({c: [] for c in ("e", "near", "keys", "asks", "label", "v", "copies")})
+            return pd.DataFrame({c: [] for c in ("e", "near", "keys", "asks", "label", "dim", "class", "v", "copies")})
         x = np.array(batch["v"].tolist(), dtype=np.float64)
         x /= np.linalg.norm(x, axis=1)[:, None]
-        near, close = np.zeros((len(x), 1), dtype=np.int64), np.ones(len(x), dtype=bool)
-        if len(own):
-            p = np.array([list(r) for r in own["pivots"].iloc[0]], dtype=np.float64)
-            p /= np.linalg.norm(p, axis=1)[:, None]
-            cosine = x @ p.T
-            near = np.argsort(-cosine, axis=1, kind="stable")[:, :order]
-            close = cosine.max(axis=1) >= CLOSE
-        keys, asks = list_keys(near, close, home)
-        return pd.DataFrame({"e": batch["e"], "near": list(near), "keys": list(keys), "asks": asks, "label": batch["label"], "v": batch["v"], "copies": batch["copies"]})
+        p = np.array([list(r) for r in own["pivots"].iloc[0]], dtype=np.float64)  # every class has some
+        p /= np.linalg.norm(p, axis=1)[:, None]
+        cosine = x @ p.T
+        near = np.argsort(-cosine, axis=1, kind="stable")[:, :order]
+        keys, asks = list_keys(near, cosine.max(axis=1) >= CLOSE, home)
+        one = {"asks": asks, "label": batch["label"], "dim": x.shape[1], "class": own["class"].iloc[0]}
+        return pd.DataFrame({"e": batch["e"], "near": list(near), "keys": list(keys), **one, "v": batch["v"], "copies": batch["copies"]})
 
     # the pivots of a class go to each of its parts: bounded by MOST_PIVOTS vectors a task
     parts = described.select(F.col("label").alias("l"), F.col("dim").alias("d"), F.col("part").alias("p")).distinct()
-    parts = parts.join(pivots, (F.col("l").eqNullSafe(F.col("label"))) & (F.col("d") == F.col("dim"))).select("l", "d", "p", "pivots")
+    parts = parts.join(pivots, (F.col("l").eqNullSafe(F.col("label"))) & (F.col("d") == F.col("dim"))).select("l", "d", "p", "class", "pivots")
     by = ["label", "dim", "part"]
-    schema = f"e bigint, near array<int>, keys array<bigint>, asks int, label {kinds['label']}, v {kinds['v']}, copies bigint"
+    schema = f"e bigint, near array<int>, keys array<bigint>, asks int, label {kinds['label']}, dim int, class bigint, v {kinds['v']}, copies bigint"
     orders = described.select(*by, "e", "v", "copies").groupBy(*by).cogroup(parts.groupBy("l", "d", "p")).applyInPandas(describe, schema)
     table = landed(orders, "orders")
 
-    # inverted lists, cut into blocks; each pair of blocks is a group
-    posts = table.select("e", "label", "near", "keys", "asks", "v", "copies", F.size("v").alias("dim"), F.posexplode("keys").alias("at", "pivot")).where("pivot >= 0")
-    lists = posts.groupBy("label", "dim", "pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    posts = posts.join(lists, ["label", "dim", "pivot"]).withColumn("block", F.pmod(F.xxhash64("e"), F.col("blocks")).cast("int"))
+    # inverted lists, cut into blocks; each pair of blocks is compared
+    close = (F.element_at("keys", 1) >= 0).alias("close")
+    posts = table.select("e", "near", close, "asks", "v", "copies", "class", "dim", F.posexplode("keys").alias("at", "pivot")).where("pivot >= 0")
+    # only long lists are joined, so vectors are shuffled once
+    long = posts.groupBy("class", "dim", "pivot").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    long = landed(long.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")), "long")
+    posts = posts.join(long.select("class", "pivot", "blocks"), ["class", "pivot"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    posts = posts.withColumn("block", F.pmod(F.xxhash64("e"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    base = [F.col(c) for c in ("e", "near", "keys", "asks", "v", "copies", "at", "label", "dim", "pivot", "block")]
-    sides = posts.select(*base, other).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    asking = (F.col("at") < F.col("asks")).alias("asking")
+    base = [F.col(c) for c in ("e", "near", "close", "v", "copies", "class", "dim", "pivot", "block")]
+    sides = posts.select(*base, asking, other).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    # many lists to a group of the shuffle, as most are short: groups in number as the listed vectors fill them
+    numbers = classes.agg(F.sum(F.col("n") * F.col("dim"))).first()[0] or 0
+    again = long.agg(F.sum(F.col("n") * (F.col("blocks") - 1) * F.col("dim"))).first()[0] or 0
+    groups = F.lit(int((numbers * (1 + LISTED * (LISTED - 1) // 2) + again) // GROUP) + 1)
+    sides = sides.withColumn("group", F.pmod(F.xxhash64("class", "pivot", "lo", "hi"), groups)).withColumn("width", F.size("near")).drop("other")
 
-    def verify(key_: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        pivot, lo, hi = key_[2], key_[3], key_[4]
-        x = np.array(group["v"].tolist(), dtype=np.float64)
-        x /= np.linalg.norm(x, axis=1)[:, None]
-        near, keys, asks = np.array(group["near"].tolist()), np.array(group["keys"].tolist()), int(group["asks"].iloc[0])
-        e, copies = group["e"].to_numpy(), group["copies"].to_numpy()
-        at_home, block = group["at"].to_numpy() < asks, group["block"].to_numpy()
-        own, alone = keys[:, 0], is_single(pivot)
-        least_shared = min(shared, near.shape[1])  # a small class has few pivots
-        links = np.zeros(len(x), dtype=np.int64)
-        forest: list[tuple[int, int]] = []
-        root = np.arange(len(x))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        # those at home first, as of two others neither asks this list
-        first, second = (m[np.argsort(~at_home[m], kind="stable")] for m in (np.flatnonzero(block == lo), np.flatnonzero(block == hi)))
-        asking = second[at_home[second]]
-        for s in range(0, len(first), 256):
-            i = first[s : s + 256]
-            others = second if at_home[i].any() else asking
-            close = x[i] @ x[others].T >= least
-            close &= at_home[i][:, None] | at_home[others][None, :]
-            close &= others[None, :] > i[:, None] if lo == hi else True
-            if not alone:  # pairs that are in one list of a single pivot count there
-                close &= (own[i][:, None] != own[others][None, :]) | (own[i][:, None] < 0)
-            a, b = np.nonzero(close)
-            a, b = i[a], others[b]
-            if not len(a):
-                continue
-            if not alone:
-                equal = near[a][:, :, None] == near[b][:, None, :]
-                ok = (equal.sum(axis=(1, 2)) >= least_shared) | equal[:, 0, 0]
-                # others count in the list of the least key where they meet
-                equal = keys[a][:, 1:, None] == keys[b][:, None, 1:]
-                equal[:, asks - 1 :, asks - 1 :] = False
-                meet = np.where(equal.any(axis=2), keys[a][:, 1:], pivot).min(axis=1)
-                mine = ok & (meet == pivot)
-                a, b = a[mine], b[mine]
-            np.add.at(links, a, copies[b])
-            np.add.at(links, b, copies[a])
-            while (root[root] != root).any():
-                root = root[root]
-            apart = root[a] != root[b]
-            for u, v in zip(a[apart].tolist(), b[apart].tolist()):
-                ru, rv = find(u), find(v)
-                if ru != rv:
-                    root[max(ru, rv)] = min(ru, rv)
-                    forest.append((u, v))
-        full = np.flatnonzero(links)
-        one = pd.DataFrame({"e": e[full], "f": e[full], "n": links[full]})
-        two = pd.DataFrame({"e": [e[u] for u, _ in forest], "f": [e[v] for _, v in forest], "n": 0})
-        return pd.concat([one, two]).astype("int64")
-
-    by = ["label", "dim", "pivot", "lo", "hi"]
-    found = landed(sides.groupBy(*by).applyInPandas(verify, "e bigint, f bigint, n bigint"), "found")
+    def verify(group: pa.Table) -> pa.Table:
+        e, f, n = linked(group, least, home, shared)
+        return pa.table({"e": pa.array(e, pa.int64()), "f": pa.array(f, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    # vectors of one length, and descriptions of one, in a group
+    found = landed(sides.groupBy("dim", "width", "group").applyInArrow(verify, "e bigint, f bigint, n bigint"), "found")
     counts = found.where("e = f").groupBy("e").agg(F.sum("n").alias("n"))
     groups = components(found.where("e != f").select(F.col("e").alias("a"), F.col("f").alias("b")))
     table = sound.join(counts, "e", "left").join(groups.withColumnRenamed("node", "e"), "e", "left")

@@ -129,6 +129,54 @@ def test_classes_of_all_sizes_have_the_same_lists(spark, monkeypatch):
     assert asks == 1 and len(set(keys[:, 0].tolist())) == 1 and keys.shape == (4, 1)
 
 
+def test_many_lists_are_one_group(spark, monkeypatch):
+    """Lists grow faster than the rows as long as classes get more pivots; groups do not."""
+    calls, real, kept = spark.sparkContext.accumulator(0), pivots.linked, {}
+
+    def counted(*args):
+        calls.add(1)
+        return real(*args)
+
+    land = pivots.landed
+    monkeypatch.setattr(pivots, "linked", counted)
+    monkeypatch.setattr(pivots, "landed", lambda df, label: kept.setdefault(label, land(df, label)))
+    x = np.random.default_rng(12).normal(0, 1, (4000, 16))
+    x[2000:] = x[:2000] + 0.01
+    frame = spark.createDataFrame([(i, v, 1, 0, "c", 0) for i, v in enumerate(x.tolist())], DDL)
+    assert pivots.near_duplicates(frame).count() == 4000
+    lists = kept["orders"].select(F.explode("keys")).distinct().count()
+    assert lists > 1000 and 1 <= calls.value <= 4000 * 11 * 16 // pivots.GROUP + 1
+
+
+def test_blocks_and_groups_change_no_link(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    n, dim = 2000, 32
+    x = rng.normal(0, 1, (n, dim))
+    x[:400] = x[0] / np.linalg.norm(x[0]) + rng.normal(0, 0.02, (400, dim))
+    for i in range(401, n, 4):
+        x[i] = x[i - 1] + rng.normal(0, 0.05, dim)
+    x[n - 100 :] = x[n - 100]  # copies
+    frame = spark.createDataFrame([(i, v, i % 2 if i > 1000 else 0, 0, "c", 0) for i, v in enumerate(x.tolist())], DDL)
+    wanted = sorted(map(tuple, pivots.near_duplicates(frame).collect()))
+    monkeypatch.setattr(pivots, "BLOCK", 16)
+    monkeypatch.setattr(pivots, "GROUP", 1 << 12)
+    monkeypatch.setattr(pivots, "PAIRS", 100)
+    assert sorted(map(tuple, pivots.near_duplicates(frame).collect())) == wanted
+    assert sum(r[1] for r in wanted) > 100_000
+
+
+def test_spanning_forest():
+    rng = np.random.default_rng(14)
+    a, b = rng.integers(0, 500, (2, 600))
+    root = np.arange(500)
+    some = np.concatenate([pivots.spanning(root, a[:300], b[:300]), 300 + pivots.spanning(root, a[300:], b[300:])])
+    assert len(some) == 500 - len(set(root.tolist()))  # no circle
+    assert (root[a] == root[b]).all()
+    again = np.arange(500)
+    pivots.spanning(again, a[some], b[some])
+    assert (again == root).all()
+
+
 def test_only_drawn_vectors_are_dealt_by_class(spark, sf_small, monkeypatch):
     plans = []
     land = pivots.landed
